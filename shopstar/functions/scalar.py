@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, Window as W, WindowSpec, functions as F
 
 from shopstar.schemas import PARSED
 
@@ -66,9 +66,12 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def rnd(c: Column, places: int) -> Column:
-    """Round a double half away from zero, spelt out so that ties are stable."""
+    """Round a double half away from zero, spelt out so that ties are stable.
+
+    Adding zero turns a negative zero into a plain one.
+    """
     scale = F.lit(float(10**places))
-    return F.signum(c) * dbl(F.floor(F.abs(c) * scale + F.lit(0.5))) / scale
+    return F.signum(c) * dbl(F.floor(F.abs(c) * scale + F.lit(0.5))) / scale + F.lit(0.0)
 
 
 def pct(num: Column, den: Column, places: int = 1) -> Column:
@@ -87,3 +90,8 @@ def mean(c: Column) -> Column:
 def money(c: Column, places: int = 0) -> Column:
     """Round an exact decimal and hand it out as a double."""
     return dbl(F.round(c, places))
+
+
+def all_rows() -> WindowSpec:
+    """Window over the whole frame; for aggregated rows only."""
+    return W.partitionBy()

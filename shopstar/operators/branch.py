@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.scalar import mean, money, pct, ratio, rnd
+from shopstar.functions.scalar import all_rows, mean, money, pct, ratio, rnd
 from shopstar.operators.customer import identified
-from shopstar.operators.growth import ALL, with_calendar
+from shopstar.operators.growth import with_calendar
 from shopstar.operators.product import yearly_shares
 
 # ISO weekdays 1 to 7.
@@ -76,7 +76,7 @@ def hour_weekday_heatmap(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     pivoted = (
         with_calendar(slots, dim_date, "day_of_week")
         .groupBy("sale_hour").pivot("day_of_week", list(range(1, 8)))
-        .agg(F.sum("rev").alias("rev"), F.count("*").alias("days"))
+        .agg(F.sum("rev").alias("rev"), F.count("rev").alias("days"))
     )
     return pivoted.select(
         "sale_hour",
@@ -95,11 +95,11 @@ def hourly_service(fact: DataFrame) -> DataFrame:
     return hourly.select(
         "sale_hour",
         money(c("rev")).alias("revenue"),
-        pct(c("rev"), F.sum("rev").over(ALL)).alias("pct_of_revenue"),
+        pct(c("rev"), F.sum("rev").over(all_rows())).alias("pct_of_revenue"),
         "invoices",
         rnd(ratio(c("rev"), c("invoices")), 2).alias("avg_basket"),
         rnd(c("rating"), 2).alias("avg_rating"),
-        rnd(c("rating") - F.avg("rating").over(ALL), 2).alias("rating_vs_mean"),
+        rnd(c("rating") - F.avg("rating").over(all_rows()), 2).alias("rating_vs_mean"),
         F.rank().over(W.orderBy(F.desc("rev"))).alias("busiest_rank"),
         F.rank().over(W.orderBy(F.desc_nulls_first("rating"))).alias("rating_rank"),
     ).orderBy(F.desc("revenue"), "sale_hour")
@@ -123,7 +123,7 @@ def peak_service_gap(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
     return periods.select(
         "period", "invoices",
         money(c("rev")).alias("revenue"),
-        pct(c("rev"), F.sum("rev").over(ALL)).alias("pct_of_revenue"),
+        pct(c("rev"), F.sum("rev").over(all_rows())).alias("pct_of_revenue"),
         rnd(ratio(c("invoices"), c("hours")), 0).alias("invoices_per_hour_slot"),
         rnd(c("rating"), 2).alias("avg_rating"),
         pct(c("low"), c("rated")).alias("pct_ratings_5_or_below"),

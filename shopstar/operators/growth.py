@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.scalar import dbl, growth_pct, mean, money, pct, ratio, rnd
+from shopstar.functions.scalar import all_rows, dbl, growth_pct, mean, money, pct, ratio, rnd
 from shopstar.operators.dims import UNKNOWN_KEY
 
-ALL = W.partitionBy()
 
 
 def with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
@@ -85,7 +84,7 @@ def annual_cagr(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     grown = yearly.withColumns({
         "prev": F.lag("revenue").over(by_year),
         "base": F.first("revenue").over(by_year),
-        "elapsed": F.col("yr") - F.min("yr").over(ALL),
+        "elapsed": F.col("yr") - F.min("yr").over(all_rows()),
     })
     exponent = F.try_divide(F.lit(1.0), dbl(F.col("elapsed")))
     cagr = F.lit(100.0) * (F.pow(ratio(F.col("revenue"), F.col("base")), exponent) - 1)
@@ -161,7 +160,7 @@ def day_of_week(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     days = with_calendar(fact, dim_date, "day_of_week", "day_abbr").groupBy(
         "day_of_week", F.col("day_abbr").alias("day")
     ).agg(F.sum("total_amount").alias("rev"), F.countDistinct("invoice_id").alias("invoices"))
-    total, n = F.sum("rev").over(ALL), F.count("rev").over(ALL)
+    total, n = F.sum("rev").over(all_rows()), F.count("rev").over(all_rows())
     return days.select(
         "day_of_week", "day",
         money(F.col("rev")).alias("revenue"),
@@ -204,7 +203,7 @@ def rolling_28d(fact: DataFrame, dim_date: DataFrame, cfg: RetailConfig) -> Data
             rnd(ratio(F.sum("revenue").over(frame), F.count("revenue").over(frame)), 0)
             .alias("revenue_28d_ma"),
             money(F.sum("revenue").over(year)).alias("ytd_revenue"),
-            F.max("full_date").over(ALL).alias("_last"),
+            F.max("full_date").over(all_rows()).alias("_last"),
         )
         .filter(F.col("full_date") > F.date_sub("_last", cfg.tail_days))
         .drop("_last").orderBy("full_date")

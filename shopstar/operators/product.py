@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.scalar import dbl, mean, money, pct, ratio, rnd
-from shopstar.operators.growth import ALL, with_calendar
+from shopstar.functions.scalar import all_rows, dbl, mean, money, pct, ratio, rnd
+from shopstar.operators.growth import with_calendar
 from shopstar.operators.semantic import pair_measures
 
 
@@ -33,9 +33,9 @@ def line_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         c("items").alias("line_items"),
         c("units").alias("units_sold"),
         money(c("rev")).alias("revenue"),
-        pct(c("rev"), F.sum("rev").over(ALL)).alias("pct_revenue"),
+        pct(c("rev"), F.sum("rev").over(all_rows())).alias("pct_revenue"),
         money(c("profit")).alias("gross_profit"),
-        pct(c("profit"), F.sum("profit").over(ALL)).alias("pct_profit"),
+        pct(c("profit"), F.sum("profit").over(all_rows())).alias("pct_profit"),
         pct(c("profit"), c("gross")).alias("margin_pct"),
         rnd(ratio(c("rating_sum"), c("rated")), 2).alias("avg_rating"),
         F.rank().over(W.orderBy(F.desc("rev"))).alias("revenue_rank"),
@@ -51,7 +51,7 @@ def _sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> D
     ).join(dim_product, "product_key")
     best = W.orderBy(F.desc("rev"), "sku")
     share = ratio(
-        F.sum("rev").over(best.rowsBetween(W.unboundedPreceding, 0)), F.sum("rev").over(ALL))
+        F.sum("rev").over(best.rowsBetween(W.unboundedPreceding, 0)), F.sum("rev").over(all_rows()))
     return skus.withColumns({
         "cum_share": share, "revenue_rank": F.row_number().over(best),
     }).withColumn(
@@ -76,7 +76,7 @@ def abc_summary(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> D
         F.count("*").alias("skus"), F.sum("rev").alias("rev"), F.sum("prof").alias("prof"))
 
     def share(c: str) -> Column:
-        return pct(F.col(c), F.sum(c).over(ALL))
+        return pct(F.col(c), F.sum(c).over(all_rows()))
 
     return classes.select(
         "abc_class", "skus", share("skus").alias("pct_of_skus"),
@@ -164,10 +164,10 @@ def basket_size(fact: DataFrame) -> DataFrame:
     )
     return sizes.select(
         "lines_in_basket", "invoices",
-        pct(F.col("invoices"), F.sum("invoices").over(ALL)).alias("pct_of_invoices"),
+        pct(F.col("invoices"), F.sum("invoices").over(all_rows())).alias("pct_of_invoices"),
         "avg_basket_value", "avg_basket_profit",
         money(F.col("rev")).alias("total_revenue"),
-        pct(F.col("rev"), F.sum("rev").over(ALL)).alias("pct_of_revenue"),
+        pct(F.col("rev"), F.sum("rev").over(all_rows())).alias("pct_of_revenue"),
     ).orderBy("lines_in_basket")
 
 
@@ -210,8 +210,8 @@ def lines_by_segment(fact: DataFrame, rfm: DataFrame, dim_product: DataFrame,
     champions = c("Champions")
     every = sum((F.coalesce(c(s), F.lit(0)) for s in segments[1:]),
                 F.coalesce(champions, F.lit(0)))
-    index = F.lit(100.0) * ratio(champions, F.sum(champions).over(ALL)) / ratio(
-        every, F.sum(every).over(ALL))
+    index = F.lit(100.0) * ratio(champions, F.sum(champions).over(all_rows())) / ratio(
+        every, F.sum(every).over(all_rows()))
     return pivoted.select(
         "product_line",
         money(champions).alias("champions_rev"),

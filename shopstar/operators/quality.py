@@ -9,11 +9,10 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from shopstar.functions.scalar import initcap_words, pct
+from shopstar.functions.scalar import all_rows, initcap_words, pct
 from shopstar.functions.skew import lookup
 from shopstar.operators.clean import PAYMENT_METHODS
 from shopstar.operators.dims import UNKNOWN_KEY, never_activated
-from shopstar.operators.growth import ALL
 
 if TYPE_CHECKING:
     from shopstar.plans.warehouse import Warehouse
@@ -262,7 +261,7 @@ def dq_reject_breakdown(rejects: DataFrame, landed: DataFrame) -> DataFrame:
     rows = F.col("rows_rejected")
     return reject_counts(rejects).select(
         "reject_reason", "rows_rejected",
-        pct(rows, F.sum(rows).over(ALL)).alias("pct_of_rejects"),
+        pct(rows, F.sum(rows).over(all_rows())).alias("pct_of_rejects"),
         pct(rows, source, 2).alias("pct_of_source"),
     ).orderBy(F.desc("rows_rejected"), "reject_reason")
 

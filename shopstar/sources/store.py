@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shopstar.schemas import FACT_COLUMNS, assert_schema
 
@@ -51,10 +51,9 @@ def write_fact_partitioned(fact: DataFrame, path: str) -> DataFrame:
     return fact.sparkSession.read.schema(fact.schema).parquet(path)
 
 
-def date_range(fact: DataFrame, first, last) -> DataFrame:
+def date_range(fact: DataFrame, first: Column, last: Column) -> DataFrame:
     """Sales from `first` to `last`; the month bound is what prunes folders."""
-    lo, hi = F.lit(first), F.lit(last)
     return fact.filter(
-        F.col("sale_date").between(lo, hi)
-        & F.col("sale_month").between(F.trunc(lo, "month"), hi)
+        F.col("sale_date").between(first, last)
+        & F.col("sale_month").between(F.trunc(first, "month"), last)
     )
