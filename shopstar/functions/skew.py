@@ -80,9 +80,6 @@ def lookup(many: DataFrame, one: DataFrame, keys: list[str], cfg: RetailConfig,
         return many.join(one, keys, how)
     cols = [F.col(k) for k in keys]
     left = many.withColumn("_salt", salted(cols, hot, F.col(position)))
-    copies = F.when(
-        key_bucket(cols).isin(*hot.ids),
-        F.sequence(F.lit(0), F.lit(hot.salts - 1)),
-    ).otherwise(F.array(F.lit(0)))
-    right = one.withColumn("_salt", F.explode(copies).cast("bigint"))
+    last = F.when(key_bucket(cols).isin(*hot.ids), hot.salts - 1).otherwise(0).cast("bigint")
+    right = one.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

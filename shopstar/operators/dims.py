@@ -12,6 +12,24 @@ from shopstar.functions.scalar import initcap_words
 
 UNKNOWN_KEY = -1
 
+# Natural keys that must be unique, as a lookup by them may not repeat a sale.
+NATURAL_KEYS = {
+    "dim_branch": "branch_code",
+    "dim_product": "sku",
+    "dim_customer_static": "customer_id",
+    "dim_payment": "payment_method",
+}
+
+
+class DuplicateKeyError(RuntimeError):
+    """A dimension holds the same natural key twice."""
+
+
+def assert_unique(dim: DataFrame, key: str) -> None:
+    twice = dim.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1).take(3)
+    if twice:
+        raise DuplicateKeyError(f"{key} not unique: {[r[key] for r in twice]}")
+
 
 def sales_bounds(stg_sales: DataFrame, cfg: RetailConfig) -> DataFrame:
     """One row: first and last sale, or the reporting window if there is none."""

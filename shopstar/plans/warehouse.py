@@ -91,7 +91,10 @@ class Warehouse:
             return written
         if name == "fact_sales_flat":
             return store.write_fact_flat(self.fact_sales, self._path(name))
-        return store.write_table(self._frame(name), self._path(name))
+        written = store.write_table(self._frame(name), self._path(name))
+        if name in dims.NATURAL_KEYS:
+            dims.assert_unique(written, dims.NATURAL_KEYS[name])
+        return written
 
     def _frame(self, name: str) -> DataFrame:
         cfg = self.cfg

@@ -36,107 +36,122 @@ def _opened(nation: Column) -> Column:
         F.make_date(nation - 24 + 2000, F.lit(6), F.lit(1)))
 
 
-def _payment(k: Column, priority: Column) -> Column:
-    def pick(wallet: str, card: str, cash: str) -> Column:
-        return (
-            F.when(priority.isin("1", "2"), wallet)
-            .when(priority.isin("3", "4"), card)
-            .otherwise(cash)
-        )
-
+def _by_priority(priority: Column, wallet: str, card: str, cash: str) -> Column:
     return (
-        F.when(k == 60, pick("E-Wallet", "CREDIT CARD", "Cash "))
-        .when(k == 61, pick("e wallet", "CREDIT CARD", "Cash "))
-        .when(k == 62, pick("EWALLET", "creditcard", "Cash "))
-        .otherwise(pick("Ewallet", "Credit card", "Cash"))
+        F.when(priority.isin("1", "2"), wallet)
+        .when(priority.isin("3", "4"), card)
+        .otherwise(cash)
+    )
+
+
+def _orders(orders: DataFrame) -> DataFrame:
+    key, buyer = F.col("o_orderkey"), F.col("o_custkey")
+    priority = F.substring("o_orderpriority", 1, 1)
+    anonymous = (F.pmod(key, F.lit(2)) == 0) | (F.pmod(buyer, F.lit(10)) == 0)
+    day = F.to_date("o_orderdate")
+    return orders.select(
+        key.alias("l_orderkey"),
+        day.alias("day"),
+        day.cast("string").alias("date"),
+        F.when(~anonymous, _customer_code(buyer)).alias("customer_id"),
+        F.when(anonymous, "Normal").otherwise("Member").alias("kind"),
+        F.when(F.pmod(buyer, F.lit(2)) == 0, "Female").otherwise("Male").alias("gender"),
+        F.concat(
+            (F.pmod(key * 7, F.lit(11)) + 10).cast("string"), F.lit(":"),
+            _two(F.pmod(key * 3, F.lit(60))), F.lit(":00")).alias("time"),
+        _by_priority(priority, "Ewallet", "Credit card", "Cash").alias("paid"),
+        _by_priority(priority, "E-Wallet", "CREDIT CARD", "Cash ").alias("paid_60"),
+        _by_priority(priority, "e wallet", "CREDIT CARD", "Cash ").alias("paid_61"),
+        _by_priority(priority, "EWALLET", "creditcard", "Cash ").alias("paid_62"),
+    )
+
+
+def _parts(part: DataFrame) -> DataFrame:
+    line = F.pmod(F.substring("p_brand", 7, 10).cast("int"), F.lit(6))
+    return part.select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.upper("p_brand").alias("product_sku"),
+        F.concat(F.lit("Line "), line.cast("string")).alias("product_line"),
+        F.col("p_brand").alias("product_name"),
+        (F.lit(12) + line * 4).cast("string").alias("gross_margin_pct"),
+    )
+
+
+def _stores(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    key = F.col("n_nationkey")
+    return supplier.join(nation, F.col("s_nationkey") == key).select(
+        F.col("s_suppkey").alias("l_suppkey"),
+        _code(key).alias("branch"),
+        _proper(F.col("n_name")).alias("city"),
+        _opened(key).alias("opened"),
     )
 
 
 def sales(spark: SparkSession, sf_dir: str, cfg: RetailConfig) -> DataFrame:
     """One landing row per order line, with planted defects.
 
-    The columns l_partkey and l_suppkey ride along to settle ties.
+    Whatever depends on the order, the part or the supplier alone is worked out
+    on that side of the join. The columns l_partkey and l_suppkey ride along to
+    settle ties between copies of a line.
     """
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     scan = read("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    orders = read("orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
-        F.to_date("o_orderdate").alias("od"), F.substring("o_orderpriority", 1, 1).alias("prio"))
-    parts = read("part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_brand",
-        F.substring("p_brand", 7, 10).cast("int").alias("bn"))
-    stores = (
-        read("supplier")
-        .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_nationkey").alias("nk"), "n_name")
-    )
     lines = scan.withColumn("_row", F.monotonically_increasing_id())
-    lines = lookup(lines, orders, ["l_orderkey"], cfg, "_row", "inner", scan)
-    lines = lookup(lines, parts, ["l_partkey"], cfg, "_row", "inner", scan)
-    lines = lookup(lines, stores, ["l_suppkey"], cfg, "_row", "inner", scan)
-    lines = lines.filter(F.col("od") >= _opened(F.col("nk")))
-
+    for one, key in (
+        (_orders(read("orders")), "l_orderkey"),
+        (_parts(read("part")), "l_partkey"),
+        (_stores(read("supplier"), read("nation")), "l_suppkey"),
+    ):
+        lines = lookup(lines, one, [key], cfg, "_row", "inner", scan)
     c = F.col
-    cents = F.floor(c("l_extendedprice") * 100.0 / c("l_quantity") + 0.5).cast("bigint")
-    defect = F.pmod(c("l_orderkey") * 7 + c("l_linenumber") * 13 + c("l_partkey"), F.lit(1000))
-    walkin = (F.pmod(c("l_orderkey"), F.lit(2)) == 0) | (F.pmod(c("o_custkey"), F.lit(10)) == 0)
-    rating = F.pmod(c("l_partkey") * 13 + c("l_orderkey") * 7 + c("l_linenumber"), F.lit(91))
-    base = lines.select(
-        "*", cents.alias("cents"), defect.alias("k"), walkin.alias("walkin"),
-        rating.alias("rt"), F.pmod(c("bn"), F.lit(6)).alias("ln"), _proper(c("n_name")).alias("cy"),
-    )
-
-    k, cents = c("k"), c("cents")
-    whole = F.floor(cents / 100).cast("bigint")
-    rest = _two(F.pmod(cents, F.lit(100)))
-    plain = F.concat(whole.cast("string"), F.lit("."), rest)
-    thousands = F.floor(whole / 1000).cast("bigint")
-    fancy = F.when(
-        thousands > 0,
-        F.concat(F.lit("$"), thousands.cast("string"), F.lit(","),
-                 F.lpad(F.pmod(whole, F.lit(1000)).cast("string"), 3, "0"), F.lit("."), rest),
-    ).otherwise(F.concat(F.lit("$"), plain))
-    units = c("l_quantity").cast("int").cast("string")
+    lines = lines.filter(c("day") >= c("opened")).withColumns({
+        "cents": F.floor(c("l_extendedprice") * 100.0 / c("l_quantity") + 0.5).cast("bigint"),
+        "k": F.pmod(c("l_orderkey") * 7 + c("l_linenumber") * 13 + c("l_partkey"), F.lit(1000)),
+        "rt": F.pmod(c("l_partkey") * 13 + c("l_orderkey") * 7 + c("l_linenumber"), F.lit(91)),
+        "units": c("l_quantity").cast("int").cast("string"),
+    }).withColumns({
+        "whole": F.floor(c("cents") / 100).cast("bigint"),
+        "point": F.concat(F.lit("."), _two(F.pmod(c("cents"), F.lit(100)))),
+    })
+
+    k, whole = c("k"), c("whole")
+    plain = F.concat(whole.cast("string"), c("point"))
+    grouped = F.when(
+        whole >= 1000,
+        F.concat(F.floor(whole / 1000).cast("string"), F.lit(","),
+                 F.lpad(F.pmod(whole, F.lit(1000)).cast("string"), 3, "0"), c("point")),
+    ).otherwise(plain)
     nothing = F.lit(None).cast("string")
-    row = base.select(
-        c("l_orderkey").cast("string").alias("invoice_id"),
-        c("l_linenumber").cast("string").alias("line_no"),
-        _code(c("nk")).alias("branch"),
-        F.when(k == 20, F.upper("cy"))
-        .when(k == 21, F.concat(F.lit("  "), F.lower("cy")))
-        .when(k.between(22, 25), F.concat(F.lit(" "), c("cy"), F.lit(" ")))
-        .otherwise(c("cy")).alias("city"),
-        F.when(~c("walkin"), _customer_code(c("o_custkey"))).alias("customer_id"),
-        F.when(k == 40, "").when(k == 41, "NULL").when(k == 42, "n/a")
-        .when(k.between(43, 44), "unknown")
-        .when(c("walkin"), "Normal").otherwise("Member").alias("customer_type"),
-        F.when(F.pmod(c("o_custkey"), F.lit(2)) == 0, "Female").otherwise("Male").alias("gender"),
-        F.upper("p_brand").alias("product_sku"),
-        F.concat(F.lit("Line "), c("ln").cast("string")).alias("product_line"),
-        c("p_brand").alias("product_name"),
-        F.when(k.between(50, 53), fancy).otherwise(plain).alias("unit_price"),
-        F.when(k.between(10, 13), F.concat(F.lit("-"), units)).otherwise(units).alias("quantity"),
-        F.lit("0.05").alias("tax_pct"),
-        nothing.alias("tax_amount"),
-        nothing.alias("total"),
-        F.when(k == 30, "1900-01-01").when(k == 31, "15/03/1998").when(k == 32, nothing)
-        .when(k == 33, "1998-02-30").otherwise(c("od").cast("string")).alias("date"),
-        F.concat(
-            (F.pmod(c("l_orderkey") * 7, F.lit(11)) + 10).cast("string"), F.lit(":"),
-            _two(F.pmod(c("l_orderkey") * 3, F.lit(60))), F.lit(":00")).alias("time"),
-        _payment(k, c("prio")).alias("payment"),
-        nothing.alias("cogs"),
-        (F.lit(12) + c("ln") * 4).cast("string").alias("gross_margin_pct"),
-        nothing.alias("gross_income"),
-        F.when(k >= 8, F.concat(
+    row = {
+        "invoice_id": c("l_orderkey").cast("string"),
+        "line_no": c("l_linenumber").cast("string"),
+        "city": F.when(k == 20, F.upper("city"))
+        .when(k == 21, F.concat(F.lit("  "), F.lower("city")))
+        .when(k.between(22, 25), F.concat(F.lit(" "), c("city"), F.lit(" ")))
+        .otherwise(c("city")),
+        "customer_type": F.when(k == 40, "").when(k == 41, "NULL").when(k == 42, "n/a")
+        .when(k.between(43, 44), "unknown").otherwise(c("kind")),
+        "unit_price": F.when(k.between(50, 53), F.concat(F.lit("$"), grouped)).otherwise(plain),
+        "quantity": F.when(k.between(10, 13), F.concat(F.lit("-"), c("units"))).otherwise(c("units")),
+        "tax_pct": F.lit("0.05"),
+        "tax_amount": nothing,
+        "total": nothing,
+        "date": F.when(k == 30, "1900-01-01").when(k == 31, "15/03/1998").when(k == 32, nothing)
+        .when(k == 33, "1998-02-30").otherwise(c("date")),
+        "payment": F.when(k == 60, c("paid_60")).when(k == 61, c("paid_61"))
+        .when(k == 62, c("paid_62")).otherwise(c("paid")),
+        "cogs": nothing,
+        "gross_income": nothing,
+        "rating": F.when(k >= 8, F.concat(
             (F.floor(c("rt") / 10) + 1).cast("string"), F.lit("."),
-            F.pmod(c("rt"), F.lit(10)).cast("string"))).alias("rating"),
-        "l_partkey", "l_suppkey",
-    )
-    return row.select(*SALES_LANDING.names, "l_partkey", "l_suppkey")
+            F.pmod(c("rt"), F.lit(10)).cast("string"))),
+    }
+    return lines.select(
+        *(row.get(name, c(name)).alias(name) for name in SALES_LANDING.names),
+        "l_partkey", "l_suppkey")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
