@@ -56,6 +56,11 @@ def normalise_payment(c: Column) -> Column:
     )
 
 
+def date_number(day: Column) -> Column:
+    """A date as the number yyyymmdd."""
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+
+
 def dbl(c: Column) -> Column:
     return c.cast("double")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -11,6 +12,20 @@ from shopstar.config import RetailConfig
 
 BUCKETS = 1 << 16
 
+_row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
+def row_count(stored: DataFrame) -> int:
+    """Rows of a stored table, counted once per frame; Parquet footers answer it."""
+    if stored not in _row_counts:
+        _row_counts[stored] = stored.count()
+    return _row_counts[stored]
+
+
+def is_small(stored: DataFrame, cfg: RetailConfig) -> bool:
+    """Small enough to be sent to every executor or to pass through one task."""
+    return row_count(stored) <= cfg.broadcast_rows
+
 
 @dataclass(frozen=True)
 class HotBuckets:
@@ -65,15 +80,17 @@ def salted(keys: list[Column], hot: HotBuckets, position: Column) -> Column:
 
 
 def lookup(many: DataFrame, one: DataFrame, keys: list[str], cfg: RetailConfig,
-           position: str, how: str = "left", scan: DataFrame | None = None) -> DataFrame:
+           position: str, how: str = "left", scan: DataFrame | None = None,
+           bound: DataFrame | None = None) -> DataFrame:
     """Join each row of `many` to the one row of `one` with the same keys.
 
     A lookup side of checked size is broadcast. A larger one is joined by
     shuffle; keys that are hot on the many side are salted there and their
     lookup rows repeated once per salt. `position` names a stable row number in
-    `many`; `scan` is the stored table that its keys come from, if not `many`.
+    `many`; `scan` is the stored table that its keys come from, if not `many`;
+    `bound` the stored table that `one` is taken from, whose rows are counted.
     """
-    if one.count() <= cfg.broadcast_rows:
+    if is_small(one if bound is None else bound, cfg):
         return many.join(F.broadcast(one), keys, how)
     hot = find_hot_buckets(many if scan is None else scan, keys, cfg)
     if not hot:

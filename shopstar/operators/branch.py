@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, mean, money, pct, ratio, rnd
-from shopstar.operators.customer import identified
-from shopstar.operators.growth import with_calendar
+from shopstar.operators.common import distinct_per, identified, with_calendar
 from shopstar.operators.product import yearly_shares
 
 # ISO weekdays 1 to 7.
@@ -15,13 +14,16 @@ WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
 
 
 def scorecard(fact: DataFrame, dim_branch: DataFrame, cfg: RetailConfig) -> DataFrame:
-    per_branch = fact.groupBy("branch_key").agg(
-        F.countDistinct("sale_date").alias("trading_days"),
-        F.countDistinct("invoice_id").alias("invoices"),
-        F.sum("total_amount").alias("rev"),
-        F.sum("gross_profit").alias("profit"),
-        mean(F.col("rating")).alias("rating"),
-        F.countDistinct(F.when(identified(), F.col("customer_key"))).alias("customers"),
+    by = ["branch_key"]
+    per_branch = (
+        fact.groupBy(*by).agg(
+            F.countDistinct("invoice_id").alias("invoices"),
+            F.sum("total_amount").alias("rev"),
+            F.sum("gross_profit").alias("profit"),
+            mean(F.col("rating")).alias("rating"))
+        .join(distinct_per(fact, by, "sale_date", "trading_days"), by)
+        .join(distinct_per(fact.filter(identified()), by, "customer_key", "customers"), by, "left")
+        .fillna(0, ["customers"])
     )
     c = F.col
     daily = ratio(c("rev"), c("trading_days"))

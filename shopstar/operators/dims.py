@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.ranking import Spool, global_row_number
-from shopstar.functions.scalar import initcap_words
+from shopstar.functions.ranking import Spool, global_row_number, numbered, tiled
+from shopstar.functions.scalar import date_number, initcap_words
 
 UNKNOWN_KEY = -1
 
@@ -59,7 +59,7 @@ def dim_date(bounds: DataFrame, cfg: RetailConfig) -> DataFrame:
     d = F.col("full_date")
     weekday = F.weekday(d) + 1
     return days_between(bounds, first, last).select(
-        F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"),
+        date_number(d).alias("date_key"),
         d,
         F.day(d).alias("day_of_month"),
         weekday.alias("day_of_week"),
@@ -92,17 +92,13 @@ def with_unknown(members: DataFrame, **values) -> DataFrame:
     return row.unionByName(members)
 
 
-def _small_key(*order: str) -> Column:
-    """Keys of a catalogue-sized table; the customer table uses the global rank."""
-    return F.row_number().over(W.orderBy(*order))
-
-
-def dim_branch(branches: DataFrame, cfg: RetailConfig) -> DataFrame:
+def dim_branch(branches: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     size = F.col("size_factor").try_cast("decimal(4,2)")
     code = F.upper(F.trim("branch_code"))
     city = initcap_words(F.trim("city"))
-    members = branches.select(
-        _small_key("branch_code").alias("branch_key"),
+    keyed = numbered(branches, branches, [F.asc("branch_code")], "branch_key", cfg, spool)
+    members = keyed.select(
+        F.col("branch_key").cast("int").alias("branch_key"),
         code.alias("branch_code"),
         F.concat(F.lit("Branch "), code, F.lit(" - "), city).alias("branch_name"),
         city.alias("city"),
@@ -118,28 +114,31 @@ def dim_branch(branches: DataFrame, cfg: RetailConfig) -> DataFrame:
         city="Unknown", region="Unknown", size_band="Unknown", is_active=False)
 
 
-def dim_product(products: DataFrame) -> DataFrame:
+def dim_product(products: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     price = F.col("base_price").try_cast("decimal(10,2)")
-    third = F.ntile(3).over(W.orderBy(price, "sku"))
-    members = products.select(
-        _small_key("sku").alias("product_key"),
+    keyed = numbered(products, products, [F.asc("sku")], "product_key", cfg, spool)
+    thirds = tiled(keyed, products, [price.asc_nulls_last(), F.asc("sku")], 3, "third", cfg, spool)
+    members = thirds.select(
+        F.col("product_key").cast("int").alias("product_key"),
         F.upper(F.trim("sku")).alias("sku"),
         F.trim("product_name").alias("product_name"),
         F.trim("product_line").alias("product_line"),
         price.alias("base_price"),
         F.col("margin_pct").try_cast("decimal(6,4)").alias("margin_pct"),
-        F.when(third == 1, "Budget").when(third == 2, "Mid").otherwise("Premium")
-        .alias("price_band"),
+        F.when(F.col("third") == 1, "Budget").when(F.col("third") == 2, "Mid")
+        .otherwise("Premium").alias("price_band"),
     )
     return with_unknown(
         members, product_key=UNKNOWN_KEY, sku="UNKNOWN", product_name="Unknown Product",
         product_line="Unknown", price_band="Unknown")
 
 
-def dim_payment(stg_sales: DataFrame) -> DataFrame:
+def dim_payment(stg_sales: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     method = F.col("payment_method")
-    members = stg_sales.select("payment_method").distinct().select(
-        _small_key("payment_method").alias("payment_key"),
+    found = spool(stg_sales.select("payment_method").distinct(), "payment_methods")
+    keyed = numbered(found, found, [F.asc("payment_method")], "payment_key", cfg, spool)
+    members = keyed.select(
+        F.col("payment_key").cast("int").alias("payment_key"),
         "payment_method",
         F.when(method == "Cash", "Cash").when(method == "Credit card", "Card")
         .when(method == "Ewallet", "Digital").otherwise("Other").alias("payment_group"),

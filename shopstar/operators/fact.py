@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.ranking import number_rows
+from shopstar.functions.scalar import date_number
 from shopstar.functions.skew import lookup
 from shopstar.operators.dims import UNKNOWN_KEY
 from shopstar.schemas import FACT_COLUMNS
@@ -27,7 +28,7 @@ def resolve_keys(sales: DataFrame, scan: DataFrame, dims: dict[str, DataFrame],
     out = sales
     for dim, natural, source, key in pairs:
         one = dims[dim].select(F.col(natural).alias(source), key)
-        out = lookup(out, one, [source], cfg, "sale_id", "left", scan)
+        out = lookup(out, one, [source], cfg, "sale_id", "left", scan, dims[dim])
         out = out.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY)))
     return out
 
@@ -42,7 +43,7 @@ def fact_sales(stored_sales: DataFrame, dims: dict[str, DataFrame],
     numbered = number_rows(stored_sales, "sale_id").drop("_total")
     keyed = resolve_keys(numbered, stored_sales, dims, cfg)
     derived = {
-        "date_key": F.date_format("sale_date", "yyyyMMdd"),
+        "date_key": date_number(F.col("sale_date")),
         "sale_month": F.trunc("sale_date", "month"),
     }
     return keyed.select(*(

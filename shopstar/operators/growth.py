@@ -6,15 +6,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, dbl, growth_pct, mean, money, pct, ratio, rnd
-from shopstar.operators.dims import UNKNOWN_KEY
+from shopstar.operators.common import distinct_per, how_many, identified, with_calendar
 
 
 
-def with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
-    """Calendar attributes of each sale; the calendar is a few thousand rows."""
-    return fact.join(F.broadcast(dim_date.select("date_key", *columns)), "date_key")
-
-
 def daily_revenue(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
     """Aggregate per day first, so that only days meet the calendar."""
     days = fact.groupBy("date_key").agg(F.sum("total_amount").alias("revenue"))
@@ -22,21 +17,27 @@ def daily_revenue(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFr
 
 
 def exec_summary(fact: DataFrame) -> DataFrame:
-    named = F.when(F.col("customer_key") != UNKNOWN_KEY, F.col("customer_key"))
-    invoices = F.countDistinct("invoice_id")
-    revenue, profit = F.sum("total_amount"), F.sum("gross_profit")
-    return fact.agg(
+    c = F.col
+    sums = fact.agg(
         F.count("*").alias("line_items"),
-        invoices.alias("invoices"),
-        F.countDistinct(named).alias("identified_customers"),
-        F.countDistinct("branch_key").alias("branches"),
+        F.countDistinct("invoice_id").alias("invoices"),
         F.min("sale_date").alias("first_sale"),
         F.max("sale_date").alias("last_sale"),
-        money(revenue).alias("total_revenue"),
-        money(profit).alias("gross_profit"),
-        pct(profit, F.sum("gross_sales"), 2).alias("gross_margin_pct"),
-        rnd(ratio(revenue, invoices), 2).alias("avg_basket_value"),
-        rnd(mean(F.col("rating")), 2).alias("avg_rating"),
+        F.sum("total_amount").alias("rev"),
+        F.sum("gross_profit").alias("profit"),
+        F.sum("gross_sales").alias("gross"),
+        mean(c("rating")).alias("rating"),
+    )
+    return sums.select(
+        "line_items", "invoices",
+        how_many(fact.filter(identified()), "customer_key").alias("identified_customers"),
+        how_many(fact, "branch_key").alias("branches"),
+        "first_sale", "last_sale",
+        money(c("rev")).alias("total_revenue"),
+        money(c("profit")).alias("gross_profit"),
+        pct(c("profit"), c("gross"), 2).alias("gross_margin_pct"),
+        rnd(ratio(c("rev"), c("invoices")), 2).alias("avg_basket_value"),
+        rnd(c("rating"), 2).alias("avg_rating"),
     )
 
 
@@ -72,14 +73,12 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def annual_cagr(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    yearly = with_calendar(fact, dim_date, "year_number").groupBy(
-        F.col("year_number").alias("yr")
-    ).agg(
+    sales = with_calendar(fact, dim_date, "year_number").withColumnRenamed("year_number", "yr")
+    yearly = sales.groupBy("yr").agg(
         F.sum("total_amount").alias("revenue"),
         F.sum("gross_profit").alias("profit"),
         F.countDistinct("invoice_id").alias("invoices"),
-        F.countDistinct("branch_key").alias("branches_trading"),
-    )
+    ).join(distinct_per(sales, ["yr"], "branch_key", "branches_trading"), "yr")
     by_year = W.orderBy("yr")
     grown = yearly.withColumns({
         "prev": F.lag("revenue").over(by_year),

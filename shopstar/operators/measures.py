@@ -10,10 +10,11 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from shopstar.functions.scalar import all_rows, dbl, growth_pct, mean, pct, ratio, rnd
-from shopstar.functions.skew import lookup
+from shopstar.functions.ranking import running_totals
+from shopstar.functions.scalar import all_rows, date_number, dbl, growth_pct, mean, pct, ratio, rnd
+from shopstar.functions.skew import is_small, lookup
 from shopstar.operators.branch import is_peak
-from shopstar.operators.customer import identified
+from shopstar.operators.common import identified
 
 # Which dimension a report column comes from, and its key in the fact.
 DIMENSIONS = {
@@ -89,7 +90,7 @@ def sales_frame(wh, columns: set[str], months_ahead: int = 0) -> DataFrame:
     """
     frame = wh.fact_sales
     if months_ahead:
-        later = F.date_format(F.add_months("sale_date", months_ahead), "yyyyMMdd").cast("int")
+        later = date_number(F.add_months("sale_date", months_ahead))
         frame = frame.withColumn("date_key", later)
     if columns & set(DIMENSIONS["dim_customer_rfm"][1]):
         keys = ["customer_key", *(
@@ -101,13 +102,19 @@ def sales_frame(wh, columns: set[str], months_ahead: int = 0) -> DataFrame:
         wanted = sorted(columns & set(own))
         if not wanted:
             continue
-        dim = wh.table(table).select(key, *wanted)
+        stored = wh.table(table)
         if table == "dim_customer_rfm":
-            frame = frame.join(dim, key, "left")
+            frame = frame.join(stored.select(key, *wanted), key, "left")
         elif "sale_id" not in frame.columns:
-            frame = frame.join(dim, key)
+            frame = frame.join(stored.select(key, *wanted), key)
+        elif table == "dim_date":
+            # The month joins along, so that a calendar slicer skips month folders.
+            month = F.add_months("month_start_date", -months_ahead).alias("sale_month")
+            frame = frame.join(
+                F.broadcast(stored.select(key, month, *wanted)), [key, "sale_month"])
         else:
-            frame = lookup(frame, dim, [key], wh.cfg, "sale_id", "inner", wh.fact_sales)
+            frame = lookup(frame, stored.select(key, *wanted), [key], wh.cfg, "sale_id", "inner",
+                           wh.fact_sales, stored)
     return frame
 
 
@@ -169,14 +176,23 @@ def dense_place() -> Column:
     return F.dense_rank().over(W.orderBy(F.desc("_rev")))
 
 
-def running_total() -> Column:
-    """Revenue of all groups that sell at least as much as this one, ties included."""
-    frame = W.orderBy(F.desc("_rev")).rangeBetween(W.unboundedPreceding, 0)
-    return F.sum("_rev").over(frame)
+def standing(wh, groups: DataFrame, bound: DataFrame) -> DataFrame:
+    """Adds dense `place`, `running` revenue with ties included, and `total`.
 
-
-def pareto_pct() -> Column:
-    return pct(running_total(), F.sum("_rev").over(all_rows()), 2)
+    Groups of equal revenue share a level; a catalogue beyond the checked size
+    sums the levels partition by partition instead of in one window.
+    """
+    if is_small(bound, wh.cfg):
+        frame = W.orderBy(F.desc("_rev")).rangeBetween(W.unboundedPreceding, 0)
+        return groups.withColumns({
+            "place": dense_place(),
+            "running": F.sum("_rev").over(frame),
+            "total": F.sum("_rev").over(all_rows()),
+        })
+    levels = groups.groupBy("_rev").agg(F.sum("_rev").alias("level"))
+    return groups.join(
+        running_totals(levels, bound, [F.desc("_rev")], "level", wh.cfg, wh.spool).drop("level"),
+        "_rev")
 
 
 def done(df: DataFrame, *order: Column | str) -> DataFrame:

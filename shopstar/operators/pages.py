@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from shopstar.functions.scalar import dbl, pct
 from shopstar.operators import customer, semantic
 from shopstar.operators.measures import (
-    customer_value, dense_place, done, measures, new_customers, pareto_pct, revenue_share,
-    running_total, time_measures)
+    customer_value, dense_place, done, measures, new_customers, revenue_share, standing,
+    time_measures)
 
 KPIS = ("total_revenue", "gross_profit", "gross_margin_pct", "invoices", "line_items",
         "units_sold", "avg_basket_value", "avg_rating", "active_customers")
@@ -56,12 +56,13 @@ def product_scatter(wh) -> DataFrame:
 
 
 def product_pareto(wh) -> DataFrame:
-    names = measures(wh, ["total_revenue"], ["product_name"])
-    return done(names.withColumns({
-        "product_rank": dense_place(),
-        "revenue_running_total": dbl(running_total()),
-        "pareto_cumulative_pct": pareto_pct(),
-    }), F.desc("total_revenue"), "product_name")
+    names = standing(wh, measures(wh, ["total_revenue"], ["product_name"]), wh.dim_product)
+    return done(names.select(
+        "product_name", "total_revenue",
+        F.col("place").alias("product_rank"),
+        dbl(F.col("running")).alias("revenue_running_total"),
+        pct(F.col("running"), F.col("total"), 2).alias("pareto_cumulative_pct"),
+    ), F.desc("total_revenue"), "product_name")
 
 
 def product_mix(wh) -> DataFrame:

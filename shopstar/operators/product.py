@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
+from shopstar.functions.ranking import Spool, running_totals
 from shopstar.functions.scalar import all_rows, dbl, mean, money, pct, ratio, rnd
-from shopstar.operators.growth import with_calendar
+from shopstar.operators.common import with_calendar
 from shopstar.operators.semantic import pair_measures
 
 
@@ -43,26 +44,25 @@ def line_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "product_line")
 
 
-def _sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
+def _sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
+                spool: Spool) -> DataFrame:
     """Revenue per SKU with running share and class; a SKU counts by where it ends."""
     skus = by_product(
         fact, F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("prof"),
         F.sum("quantity").alias("units"),
     ).join(dim_product, "product_key")
-    best = W.orderBy(F.desc("rev"), "sku")
-    share = ratio(
-        F.sum("rev").over(best.rowsBetween(W.unboundedPreceding, 0)), F.sum("rev").over(all_rows()))
-    return skus.withColumns({
-        "cum_share": share, "revenue_rank": F.row_number().over(best),
-    }).withColumn(
+    ranked = running_totals(skus, dim_product, [F.desc("rev"), F.asc("sku")], "rev", cfg, spool)
+    share = ratio(F.col("running"), F.col("total"))
+    return ranked.withColumn("cum_share", share).withColumn(
         "abc_class",
         F.when(F.col("cum_share") <= cfg.abc_a, "A").when(F.col("cum_share") <= cfg.abc_b, "B")
         .otherwise("C"))
 
 
-def abc_skus(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
-    return _sku_shares(fact, dim_product, cfg).select(
-        "revenue_rank", "sku", "product_name", "product_line",
+def abc_skus(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
+             spool: Spool) -> DataFrame:
+    return _sku_shares(fact, dim_product, cfg, spool).select(
+        F.col("place").alias("revenue_rank"), "sku", "product_name", "product_line",
         money(F.col("rev")).alias("revenue"),
         money(F.col("prof")).alias("profit"),
         "units",
@@ -71,8 +71,9 @@ def abc_skus(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> Data
     ).orderBy("revenue_rank")
 
 
-def abc_summary(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
-    classes = _sku_shares(fact, dim_product, cfg).groupBy("abc_class").agg(
+def abc_summary(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
+                spool: Spool) -> DataFrame:
+    classes = _sku_shares(fact, dim_product, cfg, spool).groupBy("abc_class").agg(
         F.count("*").alias("skus"), F.sum("rev").alias("rev"), F.sum("prof").alias("prof"))
 
     def share(c: str) -> Column:

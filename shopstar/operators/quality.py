@@ -83,7 +83,7 @@ def orphans(wh: "Warehouse") -> DataFrame:
     rows = wh.fact_sales.select("sale_id", *keys)
     for key, dim in keys.items():
         known = dim.select(key, F.lit(True).alias(f"has_{key}"))
-        rows = lookup(rows, known, [key], wh.cfg, "sale_id", "left", wh.fact_sales)
+        rows = lookup(rows, known, [key], wh.cfg, "sale_id", "left", wh.fact_sales, dim)
     return rows.filter(reduce(Column.__or__, (F.col(f"has_{k}").isNull() for k in keys)))
 
 

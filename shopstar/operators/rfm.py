@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shopstar.functions.ranking import Spool, number_rows, range_sorted, tile
-from shopstar.operators.dims import UNKNOWN_KEY
+from shopstar.operators.common import identified
 
 # Scores run from 1 to 5.
 SCORES = 5
@@ -16,7 +16,7 @@ def rfm_base(fact: DataFrame) -> DataFrame:
     """One row per customer, recency counted to the latest sale of all."""
     as_of = fact.agg(F.max("sale_date").alias("as_of")).scalar()
     return (
-        fact.filter(F.col("customer_key") != UNKNOWN_KEY)
+        fact.filter(identified())
         .groupBy("customer_key")
         .agg(
             F.max("sale_date").alias("last_purchase"),

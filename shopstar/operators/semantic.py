@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstar.config import RetailConfig
+from shopstar.functions.ranking import Spool
 from shopstar.functions.scalar import dbl, mean, pct, rnd
+from shopstar.functions.skew import row_count
+from shopstar.operators.common import distinct_per, identified
 from shopstar.operators.dims import UNKNOWN_KEY
 
 
@@ -19,7 +22,7 @@ def cohort_counts(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     The fact is cut to one row per customer and month before the join, so a
     customer brings at most as many rows as there are months.
     """
-    active = fact.filter(F.col("customer_key") != UNKNOWN_KEY).select(
+    active = fact.filter(identified()).select(
         "customer_key", "sale_month").distinct()
     cohorts = dim_customer.filter(F.col("cohort_month").isNotNull()).select(
         "customer_key", "cohort_month")
@@ -63,7 +66,30 @@ def _bits(mask: Column, block: Column, width: int) -> Column:
     return F.transform(slots, lambda i: i + block * width)
 
 
-def pair_counts(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
+def _shape_pairs(shapes: DataFrame, width: int) -> DataFrame:
+    """(a, b) with a <= b of every mask, weighted by the baskets that have it."""
+    items = shapes.select("n", _bits(F.col("mask"), F.col("block"), width).alias("items"))
+    later = F.slice("items", F.col("i") + 1, F.size("items") - F.col("i"))
+    return items.select("n", "items", F.posexplode("items").alias("i", "a")).select(
+        "n", "a", F.explode(later).alias("b"))
+
+
+def _pairs_across(masks: DataFrame, width: int) -> DataFrame:
+    """Pairs of products that lie in different blocks of the catalogue."""
+    def side(s: str) -> DataFrame:
+        return masks.select(
+            "invoice_id", F.col("block").alias(f"block_{s}"), F.col("mask").alias(f"mask_{s}"))
+
+    both = side("a").join(side("b"), "invoice_id").filter(F.col("block_a") < F.col("block_b"))
+    shapes = both.groupBy("block_a", "mask_a", "block_b", "mask_b").agg(F.count("*").alias("n"))
+    return shapes.select(
+        "n", "block_b", "mask_b",
+        F.explode(_bits(F.col("mask_a"), F.col("block_a"), width)).alias("a"),
+    ).select("n", "a", F.explode(_bits(F.col("mask_b"), F.col("block_b"), width)).alias("b"))
+
+
+def pair_counts(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
+                spool: Spool) -> DataFrame:
     """How many baskets hold each product, and each pair of products.
 
     A basket is folded into bit masks, one per block of the catalogue, in one
@@ -78,31 +104,17 @@ def pair_counts(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> D
     bit = F.expr(f"shiftleft(1L, cast(greatest(product_key, 0) % {width} as int))")
     masks = fact.groupBy("invoice_id", F.floor(slot / width).cast("int").alias("block")).agg(
         F.bit_or(bit).alias("mask"))
-
-    shapes = masks.groupBy("block", "mask").agg(F.count("*").alias("n"))
-    inside = shapes.select("n", _bits(F.col("mask"), F.col("block"), width).alias("items"))
-    inside = (
-        inside.select("n", "items", F.posexplode("items").alias("i", "a"))
-        .select("n", "a", F.explode(F.slice(
-            "items", F.col("i") + 1, F.size("items") - F.col("i"))).alias("b"))
-    )
-    blocks = -(-dim_product.count() // width)
-    if blocks == 1:
+    one_block = row_count(dim_product) <= width
+    if not one_block:
+        masks = spool(masks, "basket_masks")
+    shapes = spool(
+        masks.groupBy("block", "mask").agg(F.count("*").alias("n")), "basket_shapes")
+    pairs = _shape_pairs(shapes, width)
+    if one_block:
         total = shapes
-        pairs = inside
     else:
+        pairs = pairs.unionByName(_pairs_across(masks, width))
         total = masks.select("invoice_id").distinct().agg(F.count("*").alias("n"))
-        left = masks.select("invoice_id", F.col("block").alias("block_a"), F.col("mask").alias("mask_a"))
-        right = masks.select("invoice_id", F.col("block").alias("block_b"), F.col("mask").alias("mask_b"))
-        across = (
-            left.join(right, (left.invoice_id == right.invoice_id)
-                      & (F.col("block_a") < F.col("block_b")))
-            .groupBy("block_a", "mask_a", "block_b", "mask_b").agg(F.count("*").alias("n"))
-            .select("n", F.explode(_bits(F.col("mask_a"), F.col("block_a"), width)).alias("a"),
-                    "mask_b", "block_b")
-            .select("n", "a", F.explode(_bits(F.col("mask_b"), F.col("block_b"), width)).alias("b"))
-        )
-        pairs = inside.unionByName(across)
 
     def key(c: str) -> Column:
         return F.when(F.col(c) == 0, UNKNOWN_KEY).otherwise(F.col(c)).cast("int")
@@ -156,19 +168,20 @@ def kpi_monthly(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame) ->
         F.col("month_start_date").alias("sale_month"), "year_month", "year_number", "month_number"
     ).distinct()
     branches = dim_branch.select("branch_key", "branch_code", "city", "region")
-    named = F.when(F.col("customer_key") != UNKNOWN_KEY, F.col("customer_key"))
+    by = ["sale_month", "branch_key"]
+    customers = distinct_per(fact.filter(identified()), by, "customer_key", "active_customers")
     return (
-        fact.groupBy("sale_month", "branch_key")
+        fact.groupBy(*by)
         .agg(
             F.count("*").alias("line_items"),
             F.countDistinct("invoice_id").alias("invoices"),
-            F.countDistinct(named).alias("active_customers"),
             F.sum("quantity").alias("units"),
             dbl(F.sum("total_amount")).alias("revenue"),
             dbl(F.sum("gross_sales")).alias("gross_sales"),
             dbl(F.sum("gross_profit")).alias("gross_profit"),
             rnd(mean(F.col("rating")), 4).alias("avg_rating"),
         )
+        .join(customers, by, "left").fillna(0, ["active_customers"])
         .join(months, "sale_month").join(branches, "branch_key")
         .withColumnRenamed("sale_month", "month_start_date")
     )

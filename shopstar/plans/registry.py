@@ -88,8 +88,10 @@ def _analysis() -> dict[str, Operator]:
         "customer_purchase_gap": lambda w: customer.purchase_gap(w.fact_sales),
         "product_line_performance": lambda w: product.line_performance(
             w.fact_sales, w.dim_product),
-        "product_abc_skus": lambda w: product.abc_skus(w.fact_sales, w.dim_product, w.cfg),
-        "product_abc_summary": lambda w: product.abc_summary(w.fact_sales, w.dim_product, w.cfg),
+        "product_abc_skus": lambda w: product.abc_skus(
+            w.fact_sales, w.dim_product, w.cfg, w.spool),
+        "product_abc_summary": lambda w: product.abc_summary(
+            w.fact_sales, w.dim_product, w.cfg, w.spool),
         "product_mix_shift": lambda w: product.mix_shift(
             w.fact_sales, w.dim_date, w.dim_product, w.cfg),
         "product_top_affinities": lambda w: product.top_affinities(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +77,8 @@ class Warehouse:
         return self.stg_sales_sorted.drop("_pos")
 
     def spool(self, df: DataFrame, name: str) -> DataFrame:
-        return store.write_table(df, f"{self.folder}/spool/{name}")
+        """Write an intermediate table; every call gets a folder of its own."""
+        return store.write_table(df, f"{self.folder}/spool/{name}-{uuid.uuid4().hex}")
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{TABLES.get(name, MARTS)}/{name}"
@@ -108,9 +110,11 @@ class Warehouse:
             "stg_sales_sorted": lambda: range_sorted(
                 clean.clean_sales(self.normalised, cfg), *clean.SALE_ORDER),
             "dim_date": lambda: dims.dim_date(dims.sales_bounds(self.stg_sales, cfg), cfg),
-            "dim_branch": lambda: dims.dim_branch(self.branches_landing, cfg),
-            "dim_product": lambda: dims.dim_product(self.products_landing),
-            "dim_payment": lambda: dims.dim_payment(self.stg_sales),
+            "dim_branch": lambda: dims.dim_branch(
+                self.branches_landing, cfg, self.spool),
+            "dim_product": lambda: dims.dim_product(
+                self.products_landing, cfg, self.spool),
+            "dim_payment": lambda: dims.dim_payment(self.stg_sales, cfg, self.spool),
             "dim_customer_static": lambda: dims.dim_customer_static(
                 self.customers_landing, self.spool),
             "dim_customer": lambda: dims.customer_enrich(
@@ -120,7 +124,8 @@ class Warehouse:
                 self.rfm_base, rfm.rfm_score(self.rfm_base, self.spool)),
             "dim_customer_rfm": lambda: rfm.dim_customer_rfm(self.customer_rfm),
             "cohort_counts": lambda: semantic.cohort_counts(self.fact_sales, self.dim_customer),
-            "pair_counts": lambda: semantic.pair_counts(self.fact_sales, self.dim_product, cfg),
+            "pair_counts": lambda: semantic.pair_counts(
+                self.fact_sales, self.dim_product, cfg, self.spool),
             "load_audit": lambda: quality.append_audit(self),
             "dq_results": lambda: quality.run_checks(self),
         }

@@ -9,10 +9,16 @@ from pyspark.sql import functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.operators import branch, customer, dims, growth, product, semantic
+from shopstar.sources.store import write_table
 
 CFG = RetailConfig()
 
 
+@pytest.fixture()
+def spool(tmp_path):
+    return lambda df, name: write_table(df, str(tmp_path / name))
+
+
 def make_fact(spark, rows):
     """Rows are dicts; everything not given has a plain value."""
     plain = dict(
@@ -92,7 +98,7 @@ def brute_pairs(baskets):
 
 
 @pytest.mark.parametrize("block", [64, 4, 1])
-def test_pair_counts_against_brute_force(spark, block):
+def test_pair_counts_against_brute_force(spark, spool, block):
     """Repeated products, single-line baskets, an unknown product and a very wide basket."""
     rows = [(f"i{i % 40}", (i * 7) % 11 + 1) for i in range(300)]
     rows += [("wide", k) for k in range(1, 12)] * 3 + [("one", 3), ("lost", -1), ("lost", 2)]
@@ -100,15 +106,23 @@ def test_pair_counts_against_brute_force(spark, block):
     for inv, key in rows:
         baskets.setdefault(inv, set()).add(key)
     fact = make_fact(spark, [{"invoice_id": i, "product_key": k} for i, k in rows])
-    got = semantic.pair_counts(fact, make_products(spark, 11), CFG.with_(basket_block=block))
+    got = semantic.pair_counts(fact, make_products(spark, 11), CFG.with_(basket_block=block), spool)
     assert {(r.key_a, r.key_b): r.n for r in got.collect()} == brute_pairs(baskets)
 
 
-def test_lift_is_symmetric_and_needs_enough_baskets(spark):
+def test_pair_counts_use_every_bit_of_a_block(spark, spool):
+    keys = [1, 62, 63, 64, 65, 127, 128, 130]
+    fact = make_fact(spark, [{"invoice_id": f"i{i}", "product_key": k} for i in range(2) for k in keys[i:]])
+    got = semantic.pair_counts(fact, make_products(spark, 130), CFG, spool)
+    assert {(r.key_a, r.key_b): r.n for r in got.collect()} == brute_pairs(
+        {i: set(keys[i:]) for i in range(2)})
+
+
+def test_lift_is_symmetric_and_needs_enough_baskets(spark, spool):
     fact = make_fact(spark, [
         {"invoice_id": f"i{i}", "product_key": k} for i in range(10) for k in ((1, 2) if i < 6 else (3,))])
     products = make_products(spark)
-    pairs = semantic.pair_counts(fact, products, CFG)
+    pairs = semantic.pair_counts(fact, products, CFG, spool)
     row = semantic.basket_affinity(pairs, products, CFG.with_(min_pair_baskets=6)).first()
     assert (row.baskets_together, row.support_pct, row.confidence_pct, row.lift) == (6, 60.0, 100.0, 1.67)
     assert semantic.basket_affinity(pairs, products, CFG.with_(min_pair_baskets=7)).count() == 0
@@ -160,13 +174,13 @@ def test_branch_without_ratings_and_zero_sales(spark):
     assert product.line_performance(fact, make_products(spark)).first().margin_pct is None
 
 
-def test_empty_fact(spark):
+def test_empty_fact(spark, spool):
     fact = make_fact(spark, [{}]).limit(0)
     cal, products = make_calendar(spark), make_products(spark)
     assert growth.exec_summary(fact).first().line_items == 0
     assert growth.monthly_trend(fact, cal).count() == 0
     assert customer.purchase_gap(fact).first().repeat_orders == 0
-    assert semantic.pair_counts(fact, products, CFG).first().n == 0
+    assert semantic.pair_counts(fact, products, CFG, spool).first().n == 0
 
 
 def test_unique_natural_keys(spark):
