@@ -51,13 +51,15 @@ def region_rollup(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
     per_branch = fact.groupBy("branch_key").agg(
         F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("prof"),
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("rated"))
-    every = per_branch.agg(F.sum("rev")).scalar()
     rolled = per_branch.join(dim_branch.select("branch_key", "region", "city"), "branch_key").rollup(
         "region", "city"
     ).agg(
         F.countDistinct("branch_key").alias("branches"),
+        F.grouping_id().alias("level"),
         *(F.sum(x).alias(x) for x in ("rev", "prof", "rating_sum", "rated")))
     c = F.col
+    # Level 3 is the row over all regions and cities.
+    every = F.max(F.when(c("level") == 3, c("rev"))).over(all_rows())
     return rolled.select(
         "region", "city", "branches",
         money(c("rev")).alias("revenue"),

@@ -203,34 +203,38 @@ def done(df: DataFrame, *order: Column | str) -> DataFrame:
 
 
 def time_measures(wh) -> DataFrame:
-    """Monthly revenue against earlier periods; months are matched by distance."""
+    """Monthly revenue against earlier periods; months are matched by distance.
+
+    Sales are read once and summed per day. Each day is then handed to the
+    months whose last three or twelve months hold it, thirteen at the most.
+    """
     c = F.col
     days = wh.fact_sales.groupBy("date_key").agg(
         F.sum(_rev).alias("rev"), F.sum("gross_profit").alias("profit"))
     days = days.join(F.broadcast(wh.dim_date.select(
-        "date_key", "full_date", "year_month", "year_number", "month_number",
-        "month_end_date")), "date_key")
-    months = days.groupBy("year_month", "year_number", "month_number", "month_end_date").agg(
-        F.sum("rev").alias("rev"), F.sum("profit").alias("profit"))
-    months = months.withColumn("no", c("year_number") * 12 + c("month_number"))
+        "date_key", "full_date", "month_start_date")), "date_key")
+    later = F.sequence(
+        c("month_start_date"), F.add_months("month_start_date", 12), F.expr("interval 1 month"))
+    spread = days.select("*", F.explode(later).alias("month"))
+    end = F.last_day("month")
+    own = c("month") == c("month_start_date")
+    last3 = F.when(c("full_date") > F.add_months(end, -3), c("rev"))
+    last12 = F.when(c("full_date") > F.add_months(end, -12), c("rev"))
+    months = spread.groupBy("month").agg(
+        F.sum(F.when(own, c("rev"))).alias("rev"),
+        F.sum(F.when(own, c("profit"))).alias("profit"),
+        rnd(mean(last3), 2).alias("revenue_3m_avg"),
+        dbl(F.sum(last12)).alias("revenue_rolling_12m"),
+    ).filter(c("rev").isNotNull())
+    months = months.withColumn("no", F.year("month") * 12 + F.month("month"))
     line = W.orderBy("no")
 
     def ago(column: str, n: int) -> Column:
         return F.max(column).over(line.rangeBetween(-n, -n))
 
-    ytd = F.sum("rev").over(W.partitionBy("year_number").orderBy("no"))
-    months = months.withColumn("ytd", ytd)
-
-    def trailing(n: int) -> DataFrame:
-        """Each month with the days of its last n months that had sales."""
-        end = c("month_end_date")
-        span = months.select("year_month", F.explode(F.sequence(
-            F.date_add(F.add_months(end, -n), 1), end)).alias("full_date"))
-        return span.join(days.select("full_date", "rev"), "full_date").groupBy("year_month").agg(
-            F.sum("rev").alias(f"sum_{n}"), mean(c("rev")).alias(f"mean_{n}"))
-
-    return months.select(
-        "year_month",
+    ytd = F.sum("rev").over(W.partitionBy(F.year("month")).orderBy("no"))
+    return months.withColumn("ytd", ytd).select(
+        F.date_format("month", "yyyy-MM").alias("year_month"),
         dbl(c("rev")).alias("total_revenue"),
         dbl(ago("rev", 12)).alias("revenue_ly"),
         growth_pct(c("rev"), ago("rev", 12), 2).alias("revenue_yoy_pct"),
@@ -238,10 +242,9 @@ def time_measures(wh) -> DataFrame:
         dbl(ago("ytd", 12)).alias("revenue_ly_ytd"),
         growth_pct(c("rev"), ago("rev", 1), 2).alias("revenue_mom_pct"),
         growth_pct(c("profit"), ago("profit", 12), 2).alias("profit_yoy_pct"),
-    ).join(trailing(3), "year_month").join(trailing(12), "year_month").withColumns({
-        "revenue_3m_avg": rnd(c("mean_3"), 2),
-        "revenue_rolling_12m": dbl(c("sum_12")),
-    }).drop("sum_3", "mean_3", "sum_12", "mean_12").orderBy("year_month")
+        "revenue_3m_avg",
+        "revenue_rolling_12m",
+    ).orderBy("year_month")
 
 
 def customer_value(wh) -> DataFrame:
