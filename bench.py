@@ -44,6 +44,28 @@ def timed(run) -> float:
     return round(statistics.median(samples), 4)
 
 
+def scanned(df) -> dict[str, int]:
+    """Files and rows that the scans of an executed query took in."""
+    df.collect()
+    found = {"files": 0, "rows": 0}
+
+    def walk(plan) -> None:
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(plan.plan())
+        metrics = plan.metrics()
+        if metrics.contains("numFiles"):
+            found["files"] += metrics.apply("numFiles").value()
+            found["rows"] += metrics.apply("numOutputRows").value()
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
 def main() -> None:
     builder = (
         SparkSession.builder.master(f"local[{CPUS}]").appName("shopstar-bench")
@@ -61,10 +83,12 @@ def main() -> None:
     slowest = run_pipeline(wh, control_copy=True, gate=False)
     pipeline = time.perf_counter() - started
 
-    queries, flat = {}, {}
+    queries, flat, reads = {}, {}, {}
     for name, run in layout.QUERIES.items():
         queries[name] = timed(lambda run=run: run(wh, wh.fact_sales))
         flat[name] = timed(lambda run=run: run(wh, wh.fact_sales_flat))
+        reads[name] = {"months": scanned(run(wh, wh.fact_sales)),
+                       "flat": scanned(run(wh, wh.fact_sales_flat))}
     operators = registry.operators()
     for name in HEADLINE:
         queries[name] = timed(lambda run=operators[name]: run(wh))
@@ -76,6 +100,7 @@ def main() -> None:
         "queries": queries,
         "sf": os.path.basename(SF_DIR),
         "layout_flat": flat,
+        "layout_scanned": reads,
         "pipeline_sec": round(pipeline, 2),
         "pipeline_slowest": {n: round(s, 2) for n, s in slowest},
         "landing_rows": wh.sales_landing.count(),

@@ -15,13 +15,16 @@ WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
 
 def scorecard(fact: DataFrame, dim_branch: DataFrame, cfg: RetailConfig) -> DataFrame:
     by = ["branch_key"]
+    days = fact.groupBy("branch_key", "sale_date").agg(
+        F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("profit"),
+        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rated"))
     per_branch = (
-        fact.groupBy(*by).agg(
-            F.countDistinct("invoice_id").alias("invoices"),
-            F.sum("total_amount").alias("rev"),
-            F.sum("gross_profit").alias("profit"),
-            mean(F.col("rating")).alias("rating"))
-        .join(distinct_per(fact, by, "sale_date", "trading_days"), by)
+        days.groupBy(*by).agg(
+            F.count("*").alias("trading_days"),
+            F.sum("rev").alias("rev"),
+            F.sum("profit").alias("profit"),
+            ratio(F.sum("rating_sum"), F.sum("rated")).alias("rating"))
+        .join(distinct_per(fact, by, "invoice_id", "invoices"), by)
         .join(distinct_per(fact.filter(identified()), by, "customer_key", "customers"), by, "left")
         .fillna(0, ["customers"])
     )

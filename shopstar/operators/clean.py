@@ -43,8 +43,8 @@ def dedupe_lines(landed: DataFrame, cfg: RetailConfig, spool: Spool,
                  hot: HotBuckets | None = None) -> DataFrame:
     """Mark all but the first copy of each (invoice_id, line_no) in `is_duplicate`.
 
-    Ordinary keys need one shuffle. A line key that holds a large part of the
-    file is first settled within salted sub-groups; only the winner of each
+    Ordinary keys need one shuffle. Lines whose key holds a large part of the
+    file are first settled within salted sub-groups; only the winner of each
     sub-group, at most one per salt, is then compared over the whole key.
     """
     if hot is None:
@@ -52,18 +52,17 @@ def dedupe_lines(landed: DataFrame, cfg: RetailConfig, spool: Spool,
     if not hot:
         return landed.withColumn("is_duplicate", _first_flag(landed, LINE_KEY, cfg))
     key = [F.col(k) for k in LINE_KEY]
-    spread = landed.withColumn("_row", F.monotonically_increasing_id()).withColumns({
-        "_salt": salted(key, hot, F.col("_row")),
-        "_hot": key_bucket(key).isin(*hot.ids),
-    }).drop("_row")
+    is_hot = key_bucket(key).isin(*hot.ids)
+    calm = landed.filter(~is_hot)
+    calm = calm.withColumn("is_duplicate", _first_flag(calm, LINE_KEY, cfg))
+    spread = landed.withColumn("_row", F.monotonically_increasing_id()).filter(is_hot)
+    spread = spread.withColumn("_salt", salted(key, hot, F.col("_row"))).drop("_row")
     partial = spool(
-        spread.withColumn("is_duplicate", _first_flag(spread, [*LINE_KEY, "_salt"], cfg)),
-        "dedupe_partial")
-    open_rows = F.col("_hot") & ~F.col("is_duplicate")
-    settled = partial.filter(~open_rows)
-    last = partial.filter(open_rows).drop("is_duplicate")
-    last = last.withColumn("is_duplicate", _first_flag(last, LINE_KEY, cfg))
-    return settled.unionByName(last).drop("_salt", "_hot")
+        spread.withColumn("is_duplicate", _first_flag(spread, [*LINE_KEY, "_salt"], cfg))
+        .drop("_salt"), "dedupe_partial")
+    winners = partial.filter(~F.col("is_duplicate")).drop("is_duplicate")
+    winners = winners.withColumn("is_duplicate", _first_flag(winners, LINE_KEY, cfg))
+    return calm.unionByName(partial.filter("is_duplicate")).unionByName(winners)
 
 
 def derive_customer_type(customer_id: Column) -> Column:

@@ -125,6 +125,7 @@ def _percent(name: str) -> Callable[[Counter], Column]:
     return lambda c: F.format_string("%.2f%%", c(name))
 
 
+# Numbers, categories, names, limits and report texts of the checks.
 CHECKS = (
     Check(1, "dq_raw_reconciles", "reconciliation", "raw rows = staged + rejected", "diff = 0",
           one_row,
@@ -278,6 +279,7 @@ def append_audit(wh: "Warehouse") -> DataFrame:
     """Row count at every hop, in load order."""
     purchasers = wh.dim_customer.filter(F.col("first_purchase_date").isNotNull())
     dormant = never_activated(wh.dim_customer).select(F.col("never_activated").alias("row_count"))
+    # Step names, table names and notes of the trail.
     hops = [
         ("extract", "raw.sales_landing", wh.sales_landing, "rows as delivered by source"),
         ("reject", "staging.stg_sales_rejects", wh.stg_sales_rejects,

@@ -58,7 +58,10 @@ def rfm_score(base: DataFrame, spool: Spool) -> DataFrame:
 
 
 def rfm_segment(base: DataFrame, scores: DataFrame) -> DataFrame:
-    """Ordered rules: a narrower segment is tested before a wider one."""
+    """Ordered rules: a narrower segment is tested before a wider one.
+
+    Fixed values: names and bounds of the segments.
+    """
     r = F.col("r_score")
     fm = (F.col("f_score") + F.col("m_score")) / F.lit(2.0)
     segment = (
@@ -76,6 +79,7 @@ def rfm_segment(base: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def dim_customer_rfm(rfm: DataFrame) -> DataFrame:
+    """Names and bounds of the value bands and activity states."""
     days = F.col("recency_days")
     return rfm.select(
         "customer_key", "rfm_segment", *METRICS, "fm_score", "recency_days",
