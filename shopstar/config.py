@@ -75,6 +75,7 @@ class RetailConfig:
     tail_days: int = 120
     slicer_year: int = 2024
     slicer_region: str = "Yangon"
+    slicer_lines: tuple[str, ...] = ("Electronic accessories", "Food and beverages")
     slicer_branch: str = "A"
     bench: BenchPoints = field(default_factory=BenchPoints)
     signals: SignalPoints = field(default_factory=SignalPoints)
@@ -102,6 +103,7 @@ def sample_config() -> RetailConfig:
         cohort_cutoff=date(2000, 1, 1),
         slicer_year=2000,
         slicer_region="Asia",
+        slicer_lines=("Line 1", "Line 2"),
         slicer_branch="B05",
         bench=BenchPoints(
             month=date(2000, 7, 1),

@@ -119,8 +119,10 @@ def sales_frame(wh, columns: set[str], months_ahead: int = 0) -> DataFrame:
 
 
 def _sliced(frame: DataFrame, filters: Mapping[str, object]) -> DataFrame:
+    """A slicer holds one value or a list of chosen values."""
     for column, value in filters.items():
-        frame = frame.filter(F.col(column) == F.lit(value))
+        chosen = value if isinstance(value, (list, tuple, set)) else [value]
+        frame = frame.filter(F.col(column).isin(*chosen))
     return frame
 
 

@@ -19,9 +19,10 @@ def exec_kpis(wh) -> DataFrame:
 
 
 def exec_kpis_sliced(wh) -> DataFrame:
-    """The cards under a year and a region slicer."""
+    """The cards under a year, a region and a product line slicer."""
     cfg = wh.cfg
-    filters = {"year_number": cfg.slicer_year, "region": cfg.slicer_region}
+    filters = {"year_number": cfg.slicer_year, "region": cfg.slicer_region,
+               "product_line": list(cfg.slicer_lines)}
     cards = measures(
         wh, [*KPIS, "revenue_ly", "revenue_yoy_pct", "profit_yoy_pct"], filters=filters)
     return done(cards.withColumn("revenue_share_pct", revenue_share(wh)))

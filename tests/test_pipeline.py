@@ -139,6 +139,30 @@ def test_measure_guards(wh):
         measures.measures(wh, ["invoices"], ["rfm_segment"])
 
 
+def test_slicers_prune_months_and_do_not_change_shares(wh):
+    """A calendar slicer reaches the month folders; parts add up to the whole."""
+    by_year = measures.measures(wh, ["total_revenue"], ["year_number"]).collect()
+    some = measures.measures(
+        wh, ["total_revenue"], ["year_number"], {"year_number": [1999, 2000]})
+    assert "dynamicpruning" in plan(some)
+    got = {r.year_number: r.total_revenue for r in some.collect()}
+    assert got == {r.year_number: r.total_revenue for r in by_year if r.year_number in (1999, 2000)}
+    whole = measures.done(measures.measures(wh, ["total_revenue"])).first().total_revenue
+    assert abs(sum(r.total_revenue for r in by_year) - whole) < 0.01
+
+
+def test_segments_cover_all_scored_customers(wh):
+    grid = measures.measures(wh, ["active_customers"], ["rfm_segment"]).collect()
+    assert sum(r.active_customers for r in grid) == wh.rfm_base.count()
+
+
+def test_month_zero_is_everyone(wh):
+    from shopstar.operators import semantic
+
+    long = semantic.cohort_retention_long(wh.cohort_counts, wh.cfg)
+    assert long.filter("month_index = 0 and retention_pct <> 100").count() == 0
+
+
 def test_shared_folder(spark):
     folder = store.shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
