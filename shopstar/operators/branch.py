@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, mean, money, pct, ratio, rnd
-from shopstar.operators.common import distinct_per, identified, with_calendar
+from shopstar.operators.common import distinct_per, identified, summarise, with_calendar
 from shopstar.operators.product import yearly_shares
 
 # ISO weekdays 1 to 7.
@@ -93,11 +93,10 @@ def hour_weekday_heatmap(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def hourly_service(fact: DataFrame) -> DataFrame:
-    hourly = fact.groupBy("sale_hour").agg(
-        F.sum("total_amount").alias("rev"),
-        F.countDistinct("invoice_id").alias("invoices"),
-        mean(F.col("rating")).alias("rating"),
-    )
+    hourly = summarise(
+        fact, ["sale_hour"],
+        [F.sum("total_amount").alias("rev"), mean(F.col("rating")).alias("rating")],
+        {"invoices": "invoice_id"})
     c = F.col
     return hourly.select(
         "sale_hour",
@@ -118,14 +117,15 @@ def is_peak(cfg: RetailConfig) -> Column:
 
 def peak_service_gap(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
     label = F.when(is_peak(cfg), f"Peak ({cfg.peak_from}-{cfg.peak_to})").otherwise("Off-peak")
-    periods = fact.groupBy(label.alias("period")).agg(
-        F.countDistinct("invoice_id").alias("invoices"),
-        F.sum("total_amount").alias("rev"),
-        F.countDistinct("sale_hour").alias("hours"),
-        mean(F.col("rating")).alias("rating"),
-        F.count(F.when(F.col("rating") <= 5, 1)).alias("low"),
-        F.count("rating").alias("rated"),
-    )
+    periods = summarise(
+        fact.withColumn("period", label), ["period"],
+        [
+            F.sum("total_amount").alias("rev"),
+            mean(F.col("rating")).alias("rating"),
+            F.count(F.when(F.col("rating") <= 5, 1)).alias("low"),
+            F.count("rating").alias("rated"),
+        ],
+        {"invoices": "invoice_id", "hours": "sale_hour"})
     c = F.col
     return periods.select(
         "period", "invoices",

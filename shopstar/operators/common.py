@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,3 +30,17 @@ def how_many(df: DataFrame, column: str) -> Column:
 def distinct_per(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
     """Distinct values of a column per group, as a frame of its own."""
     return df.groupBy(*by).agg(F.countDistinct(column).alias(name))
+
+
+def summarise(df: DataFrame, by: Sequence[str], sums: Sequence[Column],
+              distinct: Mapping[str, str]) -> DataFrame:
+    """Sums per group next to distinct counts {name: column}, few groups.
+
+    Taken together, every sum would travel with each distinct value. Apart, the
+    sums combine to one row per group and task, and a distinct count moves its
+    own column only; what is joined is one row per group.
+    """
+    out = df.groupBy(*by).agg(*sums)
+    for name, column in distinct.items():
+        out = out.join(distinct_per(df, by, column, name), list(by))
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, dbl, growth_pct, mean, money, pct, ratio, rnd
-from shopstar.operators.common import distinct_per, how_many, identified, with_calendar
+from shopstar.operators.common import how_many, identified, summarise, with_calendar
 
 
 
@@ -20,14 +20,13 @@ def exec_summary(fact: DataFrame) -> DataFrame:
     c = F.col
     sums = fact.agg(
         F.count("*").alias("line_items"),
-        F.countDistinct("invoice_id").alias("invoices"),
         F.min("sale_date").alias("first_sale"),
         F.max("sale_date").alias("last_sale"),
         F.sum("total_amount").alias("rev"),
         F.sum("gross_profit").alias("profit"),
         F.sum("gross_sales").alias("gross"),
         mean(c("rating")).alias("rating"),
-    )
+    ).withColumn("invoices", how_many(fact, "invoice_id"))
     return sums.select(
         "line_items", "invoices",
         how_many(fact.filter(identified()), "customer_key").alias("identified_customers"),
@@ -47,11 +46,11 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     The earlier months are found by their distance in months and not by their
     position, so a month without sales gives NULL instead of a wrong partner.
     """
-    monthly = with_calendar(fact, dim_date, "year_month", "month_start_date").groupBy(
-        "year_month", F.col("month_start_date").alias("month_start")
-    ).agg(
-        F.sum("total_amount").alias("revenue"),
-        F.countDistinct("invoice_id").alias("invoices"),
+    sales = with_calendar(fact, dim_date, "year_month", "month_start_date").withColumnRenamed(
+        "month_start_date", "month_start")
+    monthly = summarise(
+        sales, ["year_month", "month_start"], [F.sum("total_amount").alias("revenue")],
+        {"invoices": "invoice_id"},
     ).withColumn("month_no", F.year("month_start") * 12 + F.month("month_start"))
     by_month = W.orderBy("month_no")
 
@@ -74,11 +73,10 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def annual_cagr(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     sales = with_calendar(fact, dim_date, "year_number").withColumnRenamed("year_number", "yr")
-    yearly = sales.groupBy("yr").agg(
-        F.sum("total_amount").alias("revenue"),
-        F.sum("gross_profit").alias("profit"),
-        F.countDistinct("invoice_id").alias("invoices"),
-    ).join(distinct_per(sales, ["yr"], "branch_key", "branches_trading"), "yr")
+    yearly = summarise(
+        sales, ["yr"],
+        [F.sum("total_amount").alias("revenue"), F.sum("gross_profit").alias("profit")],
+        {"invoices": "invoice_id", "branches_trading": "branch_key"})
     by_year = W.orderBy("yr")
     grown = yearly.withColumns({
         "prev": F.lag("revenue").over(by_year),
@@ -158,9 +156,10 @@ def seasonality_index(fact: DataFrame, dim_date: DataFrame, cfg: RetailConfig) -
 
 
 def day_of_week(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    days = with_calendar(fact, dim_date, "day_of_week", "day_abbr").groupBy(
-        "day_of_week", F.col("day_abbr").alias("day")
-    ).agg(F.sum("total_amount").alias("rev"), F.countDistinct("invoice_id").alias("invoices"))
+    sales = with_calendar(fact, dim_date, "day_of_week", "day_abbr").withColumnRenamed(
+        "day_abbr", "day")
+    days = summarise(sales, ["day_of_week", "day"], [F.sum("total_amount").alias("rev")],
+                     {"invoices": "invoice_id"})
     total, n = F.sum("rev").over(all_rows()), F.count("rev").over(all_rows())
     return days.select(
         "day_of_week", "day",

@@ -8,7 +8,7 @@ from shopstar.config import RetailConfig
 from shopstar.functions.ranking import Spool
 from shopstar.functions.scalar import dbl, mean, pct, rnd
 from shopstar.functions.skew import row_count
-from shopstar.operators.common import distinct_per, identified
+from shopstar.operators.common import distinct_per, identified, summarise
 from shopstar.operators.dims import UNKNOWN_KEY
 
 
@@ -170,17 +170,16 @@ def kpi_monthly(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame) ->
     branches = dim_branch.select("branch_key", "branch_code", "city", "region")
     by = ["sale_month", "branch_key"]
     customers = distinct_per(fact.filter(identified()), by, "customer_key", "active_customers")
+    sums = [
+        F.count("*").alias("line_items"),
+        F.sum("quantity").alias("units"),
+        dbl(F.sum("total_amount")).alias("revenue"),
+        dbl(F.sum("gross_sales")).alias("gross_sales"),
+        dbl(F.sum("gross_profit")).alias("gross_profit"),
+        rnd(mean(F.col("rating")), 4).alias("avg_rating"),
+    ]
     return (
-        fact.groupBy(*by)
-        .agg(
-            F.count("*").alias("line_items"),
-            F.countDistinct("invoice_id").alias("invoices"),
-            F.sum("quantity").alias("units"),
-            dbl(F.sum("total_amount")).alias("revenue"),
-            dbl(F.sum("gross_sales")).alias("gross_sales"),
-            dbl(F.sum("gross_profit")).alias("gross_profit"),
-            rnd(mean(F.col("rating")), 4).alias("avg_rating"),
-        )
+        summarise(fact, by, sums, {"invoices": "invoice_id"})
         .join(customers, by, "left").fillna(0, ["active_customers"])
         .join(months, "sale_month").join(branches, "branch_key")
         .withColumnRenamed("sale_month", "month_start_date")
