@@ -11,8 +11,10 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from shopstar.operators import layout
@@ -73,6 +75,8 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if not SparkConf().get("spark.checkpoint.dir"):  # one machine: its own folder is the shared one
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shopstar-bench-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shopstar.schemas import FACT_COLUMNS, assert_schema
@@ -12,16 +10,18 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a scratch one for local runs only."""
+    """The folder named in spark.checkpoint.dir, which driver and executors share."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError(
-            f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shopstar-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+            f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+    return folder.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one; a missing folder is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:

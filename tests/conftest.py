@@ -9,11 +9,15 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
+    builder = SparkSession.builder.master("local[8]").appName("shopstar-tests")
+    if not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session = (
-        SparkSession.builder.master("local[8]").appName("shopstar-tests")
+        builder
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
