@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstar.llm import line_dedup, pii, quality_rules
+from shopstar.llm import line_dedup, mixing, packing, pii, quality_rules
 from shopstar.llm.tables import read
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file()).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select(
@@ -33,9 +44,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "score")
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.sized(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixing.mix_sources(docs.drop("text")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_best_fit_packing": op2_best_fit_packing,
         "op4_line_dedup": op4_line_dedup,
         "op5_pii": op5_pii,
         "op8_quality_rules": op8_quality_rules,
+        "op10_mix_sources": op10_mix_sources,
     }
