@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstar.llm import line_dedup, mixing, packing, pii, quality_rules
+from shopstar.llm import archives, jaccard_join, line_dedup, mixing, packing, pii, quality_rules
 from shopstar.llm.tables import read
 
 
@@ -21,6 +21,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select(
@@ -37,6 +41,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_list(F.col("pii")).alias("spans"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archived_pages(read(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply_rules(docs, read(spark, sf_dir, "labels")).select(
@@ -54,8 +62,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_line_dedup": op4_line_dedup,
         "op5_pii": op5_pii,
+        "op7_warc": op7_warc,
         "op8_quality_rules": op8_quality_rules,
         "op10_mix_sources": op10_mix_sources,
     }
