@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopstar.llm import archives, jaccard_join, line_dedup, mixing, packing, pii, quality_rules
+from shopstar.llm import (
+    archives, grid_join, jaccard_join, line_dedup, mixing, packing, pii, quality_net, quality_rules,
+    toxicity)
 from shopstar.llm.tables import read
 
 
@@ -16,6 +18,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -41,6 +47,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_list(F.col("pii")).alias("spans"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archived_pages(read(spark, sf_dir, "pages"))
 
@@ -52,6 +62,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "score")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.sized(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixing.mix_sources(docs.drop("text")).select(
@@ -61,11 +75,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_line_dedup": op4_line_dedup,
         "op5_pii": op5_pii,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_warc": op7_warc,
         "op8_quality_rules": op8_quality_rules,
+        "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_mix_sources": op10_mix_sources,
     }
