@@ -4,26 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shopstar.llm.text import BLANKS, hash_pair, lower_ascii, whole
+from shopstar.llm.tables import beside
+from shopstar.llm.text import BLANKS, hash_pair, lower_ascii, row_id, whole
 
 
 def shared_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
-    """(doc_id, t1, t2, at): positions of the lines that go, and whose text (t1, t2) they are in.
+    """(r1, r2, at): positions of the lines that go, and the rows (by hash) they are in.
 
     Lines are told apart by two 64-bit hashes of their key. A key is counted by
     document in two steps, pairs of key and document first and keys then, so a
     line that is everywhere is summed up before it meets in one task. The lines
     of such a key go through a join whose large parts Spark splits.
     """
-    t1, t2 = hash_pair("text", whole())
+    r1, r2 = row_id("doc_id", "text")
     lines = docs.select(
-        "doc_id", t1.alias("t1"), t2.alias("t2"),
+        "doc_id", r1.alias("r1"), r2.alias("r2"),
         F.posexplode_outer(F.split(whole(), "\n", -1)).alias("at", "_line"))
     key = lower_ascii(F.btrim("_line", F.lit(BLANKS)))
     k1, k2 = hash_pair("line", F.col("_key"))
     keyed = (
         lines.withColumn("_key", key).filter(F.length("_key") >= min_length)
-        .select("doc_id", "t1", "t2", "at", k1.alias("k1"), k2.alias("k2")))
+        .select("doc_id", "r1", "r2", "at", k1.alias("k1"), k2.alias("k2")))
     common = (
         keyed.groupBy("k1", "k2", "doc_id").agg(F.lit(1).alias("_one"))
         .groupBy("k1", "k2").agg(F.count("doc_id").alias("_docs"), F.max("doc_id").alias("_keeper"))
@@ -31,7 +32,7 @@ def shared_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> Da
     return (
         keyed.join(common, ["k1", "k2"])
         .filter(~F.col("doc_id").eqNullSafe(F.col("_keeper")))
-        .select("doc_id", "t1", "t2", "at"))
+        .select("r1", "r2", "at"))
 
 
 def dedup_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
@@ -44,23 +45,20 @@ def dedup_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> Dat
     document; a null doc_id counts as none and keeps no shared line. The lines
     of one text return to it by their position, and equal rows get equal results.
     """
-    own = docs.drop("n_lines", "n_dropped", "kept_text")
-    t1, t2 = hash_pair("text", whole())
-    marked = own.withColumns({"_t1": t1, "_t2": t2})
-    gone = (
-        shared_lines(own, min_length, min_docs).groupBy("doc_id", "t1", "t2")
-        .agg(F.collect_set("at").alias("_gone"))
-        .select(F.col("doc_id").alias("_doc"), "t1", "t2", "_gone"))
-    met = marked.join(
-        gone, (F.col("_t1") == F.col("t1")) & (F.col("_t2") == F.col("t2"))
-        & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    lines = F.split(whole(), "\n", -1)
-    split = met.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    return split.withColumns({
-        "n_lines": F.when(F.col("_lines").isNull(), F.size(lines)).otherwise(
-            F.size("_lines")).cast("bigint"),
-        "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-        "kept_text": F.when(F.col("_lines").isNull(), whole()).otherwise(
-            F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")),
-    }).drop("_t1", "_t2", "_doc", "t1", "t2", "_gone", "_lines")
+    def work(own: DataFrame) -> DataFrame:
+        gone = shared_lines(own, min_length, min_docs).groupBy("r1", "r2").agg(
+            F.collect_set("at").alias("_gone"))
+        r1, r2 = row_id("doc_id", "text")
+        met = own.withColumns({"r1": r1, "r2": r2}).join(gone, ["r1", "r2"], "left")
+        lines = F.split(whole(), "\n", -1)
+        split = met.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
+        left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+        return split.withColumns({
+            "n_lines": F.when(F.col("_lines").isNull(), F.size(lines)).otherwise(
+                F.size("_lines")).cast("bigint"),
+            "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
+            "kept_text": F.when(F.col("_lines").isNull(), whole()).otherwise(
+                F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")),
+        })
+
+    return beside(docs, ["doc_id", "text"], ["n_lines", "n_dropped", "kept_text"], work)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from shopstar.functions.ranking import number_rows, range_sorted
-from shopstar.llm.tables import Spool
-from shopstar.llm.text import WORD, hash_pair, whole
+from shopstar.llm.tables import Spool, aside, beside, restored
+from shopstar.llm.text import WORD, row_id, whole
 
 
 @dataclass(frozen=True)
@@ -31,16 +32,16 @@ class Mix:
     seed: int = 17
 
 
-# An item of the rounding: which document (t1, t2: its text; nth of its equal
-# rows), its size, and the fraction of a copy that is still open.
-ITEM = "rank long, node long, doc_id long, t1 long, t2 long, nth int, size long, part double, up int"
+# An item of the rounding: a row (by hash, and its number among equal ones), its
+# size, and the fraction of a copy that is still open.
+ITEM = "rank long, node long, r1 long, r2 long, nth int, size long, part double, up int"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """Adds size, the number of words, and the hashes _t1, _t2 of the text."""
-    t1, t2 = hash_pair("text", whole())
+    """Adds size, the number of words, and _r1 and _r2, which identify the row."""
+    r1, r2 = row_id("doc_id", "source", "text")
     return docs.withColumns({
-        "size": F.regexp_count(whole(), F.lit(WORD)).cast("bigint"), "_t1": t1, "_t2": t2})
+        "size": F.regexp_count(whole(), F.lit(WORD)).cast("bigint"), "_r1": r1, "_r2": r2})
 
 
 def source_targets(docs: DataFrame, mix: Mix, spool: Spool) -> DataFrame:
@@ -107,8 +108,7 @@ def _rounder(seed: int):
 
     def rounded(items: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values(  # large ones first, so that a small one is left open
-            ["size", "doc_id", "t1", "t2", "nth"], ascending=[False, True, True, True, True],
-            kind="stable", na_position="last")
+            ["size", "r1", "r2", "nth"], ascending=[False, True, True, True], kind="stable")
         first = items.iloc[0]
         draw = np.random.default_rng([seed, int(first["rank"]), int(first["node"]), len(items)])
         part = pivotal(items["part"].to_numpy(), items["size"].to_numpy(), draw)
@@ -133,19 +133,16 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     told apart by number, so a repeated row is rounded like another document.
     """
     spool = Spool(docs.sparkSession, "mixing")
-    same = ["doc_id", "_t1", "_t2", "source"]
-    own = docs.drop("source_size", "target", "copies").withColumn(
-        "_nth", F.row_number().over(W.partitionBy(*same).orderBy("size")))
     targets = spool.write(source_targets(docs, mix, spool), "targets")
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     leaves = F.ceil(F.col("n_docs") / F.lit(mix.leaf_rows))
+    rows = docs.groupBy("_r1", "_r2", "source", "size").agg(F.count("*").alias("_n"))
     items = spool.write(
-        own.select(*same, "_nth", "size")
-        .join(targets.withColumnRenamed("source", "_from"), F.col("source").eqNullSafe(F.col("_from")))
+        rows.join(targets.withColumnRenamed("source", "_from"), F.col("source").eqNullSafe(F.col("_from")))
+        .withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
         .select(
-            "rank", F.pmod(F.xxhash64(F.lit("leaf"), "doc_id", "_t1", "_nth"), leaves).alias("node"),
-            "doc_id", F.col("_t1").alias("t1"), F.col("_t2").alias("t2"),
-            F.col("_nth").alias("nth"), "size", "source", "source_size", "target",
+            "rank", F.pmod(F.xxhash64(F.lit("leaf"), "_r1", "nth"), leaves).alias("node"),
+            F.col("_r1").alias("r1"), F.col("_r2").alias("r2"), "nth", "size", "source_size", "target",
             F.floor(rate + 1e-12).cast("int").alias("base"),
             F.greatest(rate - F.floor(rate + 1e-12), F.lit(0.0)).alias("part")),
         "items")
@@ -165,22 +162,28 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         if nodes == 0:
             break
         nodes //= mix.fan_in
-    last = F.pmod(F.xxhash64(F.lit(mix.seed), "doc_id", "t1", "nth"), F.lit(1 << 30)) / F.lit(1 << 30)
+    last = F.pmod(F.xxhash64(F.lit(mix.seed), "r1", "nth"), F.lit(1 << 30)) / F.lit(1 << 30)
     settled.append(unsettled.withColumn("up", (last < F.col("part")).cast("int")))
-    keys = ["rank", "doc_id", "t1", "t2", "nth"]
-    up = settled[0].select(*keys, "up")
-    for more in settled[1:]:
-        up = up.unionByName(more.select(*keys, "up"))
-    up = up.select(*(F.col(k).alias(f"_{k}_up") for k in keys), "up")
-    met = items.join(up, (F.col("rank") == F.col("_rank_up")) & (F.col("t1") == F.col("_t1_up"))
-                     & (F.col("t2") == F.col("_t2_up")) & (F.col("nth") == F.col("_nth_up"))
-                     & F.col("doc_id").eqNullSafe(F.col("_doc_id_up")), "left")
-    chosen = met.select(
-        F.col("doc_id").alias("_doc"), F.col("t1").alias("_c1"), F.col("t2").alias("_c2"),
-        F.col("nth").alias("_cn"), F.col("source").alias("_from"), "source_size", "target",
-        (F.col("base") + F.coalesce("up", F.round("part").cast("int"))).alias("copies"))
-    return own.join(
-        chosen, (F.col("_t1") == F.col("_c1")) & (F.col("_t2") == F.col("_c2"))
-        & (F.col("_nth") == F.col("_cn")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-        & F.col("source").eqNullSafe(F.col("_from"))
-    ).drop("_doc", "_c1", "_c2", "_cn", "_from", "_nth", "_t1", "_t2")
+    up = reduce(DataFrame.unionByName, [s.select("r1", "r2", "nth", "up") for s in settled])
+    # Lists by row, not by number, so that documents are shuffled once for both steps below.
+    chosen = (
+        items.join(up, ["r1", "r2", "nth"], "left")
+        .withColumn("copies", F.col("base") + F.coalesce("up", F.round("part").cast("int")))
+        .groupBy(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"))
+        .agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+             F.array_sort(F.collect_list(F.struct("nth", "copies"))).alias("_all")))
+
+    def work(own: DataFrame) -> DataFrame:
+        numbered = own.withColumn(
+            "_nth", F.row_number().over(W.partitionBy("_r1", "_r2").orderBy("size")))
+        return numbered.join(chosen, ["_r1", "_r2"]).withColumn(
+            "copies", F.element_at("_all", F.col("_nth"))["copies"])
+
+    return beside(docs, ["_r1", "_r2", "size"], ["source_size", "target", "copies"], work).drop("_r1", "_r2")
+
+
+def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """The mix itself: every row of `docs` as often as it is taken, with its own columns."""
+    own = sized(aside(docs, "doc_id", "source", "text"))
+    taken = mix_sources(own, mix).filter("copies > 0")
+    return restored(taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)

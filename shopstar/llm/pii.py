@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shopstar.llm.tables import beside
 from shopstar.llm.text import whole
 
 # Fixed by the query contract: kinds in their order, and what each pattern takes.
@@ -154,16 +155,18 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
             s["end"].alias("end"), s["match"].alias("match"),
             F.least(F.round(score, 2), F.lit(1.0)).alias("score"), F.lit(is_base).alias("base"))
 
-    df = docs.drop("pii").withColumns({"_base": base, "_more": more})
     free = lambda s: ~F.exists(
         "_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    df = df.withColumns({
-        "_base": F.transform("_base", lambda s: scored(s, True)),
-        "_more": F.filter(
-            F.transform(F.filter("_more", free), lambda s: scored(s, False)),
-            lambda s: s["score"] >= rules.threshold),
-    })
-    return df.withColumn("pii", F.array_sort(F.concat("_base", "_more"))).drop("_base", "_more")
+
+    def work(own: DataFrame) -> DataFrame:
+        return own.withColumns({"_base": base, "_more": more}).withColumns({
+            "_base": F.transform("_base", lambda s: scored(s, True)),
+            "_more": F.filter(
+                F.transform(F.filter("_more", free), lambda s: scored(s, False)),
+                lambda s: s["score"] >= rules.threshold),
+        }).withColumn("pii", F.array_sort(F.concat("_base", "_more")))
+
+    return beside(docs, [text], ["pii"], work)
 
 
 def count_of(found: Column, kind: str) -> Column:

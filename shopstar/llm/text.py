@@ -31,6 +31,11 @@ def hash_pair(name: str, *values: Column) -> tuple[Column, Column]:
             F.xxhash64(F.lit(f"second {name}"), *values))
 
 
+def row_id(*columns: str) -> tuple[Column, Column]:
+    """Two hashes that rows with equal values share; nulls count as values."""
+    return hash_pair("row", *[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words after A-Z are lower-cased.
 
