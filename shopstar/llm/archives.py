@@ -75,7 +75,8 @@ def _write(entries: DataFrame, folder: str, separator: str, every: int) -> None:
     they are; it commits by task, so a lost executor leaves no half archive.
     """
     (entries.select(F.col("value").cast("string").alias("value")).write
-     .option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", every)
+     .option("lineSep", separator).option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", every)
      .text(folder))
 
 

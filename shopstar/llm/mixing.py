@@ -27,7 +27,7 @@ class Mix:
     weights: Sequence[int] = (5, 2, 1)
     share: float = 1.5
     most_copies: int = 2
-    leaf_rows: int = 20_000
+    leaf_rows: int = 4_000
     fan_in: int = 64
     seed: int = 17
 
