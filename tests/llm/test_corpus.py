@@ -1,0 +1,303 @@
+"""Corpus operators against plain Python, on small tables with the odd cases."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from compare import differences
+from shopstar.llm import (
+    archives, grid_join, jaccard_join, line_dedup, mixing, oracle, packing, pii, quality_net,
+    quality_rules, queries, toxicity)
+from shopstar.llm.tables import read
+
+SF = "/root/testdata/sf0.001"
+BLANK = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
+LONG = "alpha beta gamma delta " * 3000
+
+TEXTS = [
+    (1, None, "a"), (2, "", None), (3, LONG, "a"),
+    (4, "One shared line of some length\nown line number four is here\n\tONE shared line of some LENGTH ", "b"),
+    (5, "one shared line of some length\nshort", "b"), (6, "one shared line of some length", None),
+    (7, "Mail me at a.b@c.org or b@x.y_d@e.fr, 4111 1111 1111 1111 and +49 (30) 123-45678, 10.0.0.300 10.0.0.3", "c"),
+    (8, " ".join(f"w{i}" for i in range(120)), "c"), (9, " ".join(f"w{i}" for i in range(121)), "c"),
+    (9, " ".join(f"w{i}" for i in range(121)), "c"), (None, "words without an id are words too", "é"),
+    (10, "ÄÖ x É", "é"), (11, "<|endoftext|> здравствуй 你好", "d"), (12, "the account DE89 3704 0044 0532 0130 00", "d"),
+]
+SCHEMA = "doc_id long, text string, source string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(
+        [(*r, "x", 1) for r in TEXTS], SCHEMA + ", lang string, size int").cache()
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), text)
+
+
+def words(text):
+    return re.findall(WORD, text or "")
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
+def test_matches_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert differences(queries.queries()[name](spark, SF), con, oracle.oracle_sql()[name]) == []
+
+
+def test_empty_tables(spark, docs):
+    none = docs.filter("false")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    for df in (line_dedup.dedup_lines(none), pii.find_pii(none), quality_rules.passing(none, labels),
+               jaccard_join.near_duplicates(none), mixing.mixed(none), packing.pack_documents(none, queries.tokenizer_file()),
+               toxicity.score_toxicity(none, labels), quality_net.score_quality(none, labels),
+               archives.archived_pages(pages), grid_join.near_vectors(vectors)):
+        assert df.count() == 0
+    assert {r["score"] for r in toxicity.score_toxicity(docs, labels).collect()} == {0.5}
+    assert {r["score"] for r in quality_net.score_quality(docs, labels).collect()} == {0.5}
+
+
+def test_line_dedup(docs):
+    key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
+    held = collections.defaultdict(set)
+    for d, t, _ in TEXTS:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 20 and d is not None:
+                held[key(line)].add(d)
+    want = []
+    for d, t, _ in TEXTS:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(held[key(x)]) < 3 or max(held[key(x)]) == d]
+        want.append((d, len(lines), len(lines) - len(kept), "\n".join(kept), 1))
+    got = [tuple(r) for r in line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_text", "size").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def base_spans(text):
+    found = []
+    kinds = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
+             ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+    for rank, (kind, pattern) in enumerate(kinds):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and max(map(int, m.group().split("."))) > 255:
+                continue
+            if kind == "card":
+                total = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits)))
+                if not 12 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x[2] for x in sorted(found))
+
+
+def test_pii(spark, docs):
+    extra = spark.createDataFrame([(20, "1" * 30_000 + " 5.5.5.5 +1 " + "2" * 12, None, "x", 1)], docs.schema)
+    found = pii.find_pii(docs.unionByName(extra)).withColumn(
+        "base", pii.span_list(F.filter("pii", lambda s: s["base"]))).collect()
+    for r in found:
+        assert r["base"] == base_spans(r["text"]), r["doc_id"]
+    kinds = {r["doc_id"]: [s["kind"] for s in r["pii"]] for r in found}
+    assert kinds[12] == ["iban"] and kinds[7].count("email") == 3
+    sample = read(spark, SF, "documents")
+    for r in pii.find_pii(sample).withColumn(
+            "base", pii.span_list(F.filter("pii", lambda s: s["base"]))).select("text", "base").collect():
+        assert r["base"] == base_spans(r["text"])
+
+
+def test_quality_rules(spark, docs):
+    sample = read(spark, SF, "documents").select("doc_id", "text", "source").unionByName(docs.select("doc_id", "text", "source"))
+    rows = quality_rules.apply_rules(sample, read(spark, SF, "labels")).collect()
+    for r in rows:
+        ws = words(r["text"])
+        seen = collections.Counter(zip(ws, ws[1:], ws[2:], strict=False))
+        covered = {i + j for i in range(len(ws) - 2) for j in range(3) if seen[tuple(ws[i:i + 3])] > 1}
+        lines = [x for x in (r["text"] or "").split("\n") if re.search(WORD, x)]
+        want = (len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", r["text"] or "")),
+                len(lines) - len(set(lines)), len(covered))
+        assert tuple(r[c] for c in quality_rules.SIGNS) == want
+        assert r["base_failed"] == (len(ws) < 50 or 100 * len(covered) > 50 * len(ws))
+    assert quality_rules.passing(docs, read(spark, SF, "labels")).columns == docs.columns
+
+
+def test_log_ratio_of_one_text(spark):
+    """The score of a text, from the counts of all buckets."""
+    import xxhash
+
+    rules = quality_rules.QualityRules(buckets=64, prior=1.0)
+    docs = spark.createDataFrame([(1, "aa bb"), (2, "aa cc!")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in quality_rules.apply_rules(docs, labels, rules).collect()}
+
+    def bucket(*parts):
+        h = 42
+        for p in parts:
+            h = xxhash.xxh64_intdigest(p.encode(), h)
+        return (h - (1 << 64) if h >> 63 else h) % 64
+
+    grams = {}
+    for d, tokens in ((1, ["aa", "bb"]), (2, ["aa", "cc", "!"])):
+        grams[d] = [bucket(t) for t in tokens] + [bucket(t, " ", n) for t, n in zip(tokens, [*tokens[1:], ""], strict=True)]
+    every, good = collections.Counter(grams[1] + grams[2]), collections.Counter(grams[1])
+    scale = len(grams[1]) / (len(grams[1]) + len(grams[2]))
+    for d, g in grams.items():
+        want = sum(np.log((good[b] + 1) / (every[b] * scale + 1)) for b in g) / len(g)
+        assert got[d] == pytest.approx(want, abs=1e-8)
+
+
+def test_jaccard_join(spark, docs):
+    rng = np.random.default_rng(3)
+    base = [f"t{i}" for i in range(200)]
+    rows = []
+    for d in range(40):  # edited copies, some of which link only through others
+        w = list(base)
+        for at in rng.choice(200, rng.integers(0, 6), replace=False):
+            w[at] = f"e{d}-{at}"
+        rows.append((100 + d, " ".join(w), "s", "x", 1))
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    texts = collections.defaultdict(list)
+    for d, t, *_ in [*TEXTS, *rows]:
+        w = lower(t or "").encode().split()
+        texts[d].append(frozenset(zip(w, w[1:], w[2:], strict=False)) if len(w) >= 3 else frozenset([tuple(w)] if w else []))
+    low = {d: d for d in texts if d is not None}
+    for _ in range(10):
+        for a in low:
+            for b in low:
+                if any(x and y and 100 * len(x & y) >= 90 * len(x | y) for x in texts[a] for y in texts[b]):
+                    low[a] = min(low[a], low[b])
+    got = jaccard_join.near_duplicates(both).collect()
+    assert len(got) == len(TEXTS) + len(rows)
+    for r in got:
+        if r["doc_id"] is not None:
+            assert (r["n_shingles"], r["component_id"]) == (len(texts[r["doc_id"]][0]), low[r["doc_id"]])
+
+
+def test_mixing(spark, docs):
+    big = spark.createDataFrame(
+        [(i, "w " * (1 + i % 37), f"s{i % 3}" if i % 11 else None, "x", 1) for i in range(3000)], docs.schema)
+    mix = mixing.Mix(leaf_rows=100, fan_in=4)
+    first = mixing.mix_sources(mixing.sized(big.drop("size")), mix).collect()
+    again = mixing.mix_sources(mixing.sized(big.drop("size").repartition(13)), mix).collect()
+    assert sorted((r["doc_id"], r["copies"]) for r in first) == sorted((r["doc_id"], r["copies"]) for r in again)
+    total = sum(r["size"] for r in first)
+    taken, target = collections.Counter(), {}
+    for r in first:
+        assert 0 <= r["copies"] <= 2
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
+    assert sum(target.values()) == pytest.approx(1.5 * total)
+    assert all(abs(taken[s] - t) <= 40 for s, t in target.items())
+    small = mixing.mixed(docs)
+    assert small.columns == docs.columns and {r["size"] for r in small.collect()} == {1}
+
+
+def test_pivotal_keeps_the_sum_and_the_average():
+    size = np.array([5, 1, 9, 2, 7, 3], float)
+    part = np.full(6, 0.4)
+    runs = [mixing.pivotal(part, size, np.random.default_rng(i)) for i in range(4000)]
+    for r in runs:
+        assert sum((r > 0) & (r < 1)) <= 1 and abs(r @ size - part @ size) < 1e-6
+    assert np.abs(np.mean(runs, 0) - 0.4).max() < 0.03
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(queries.tokenizer_file())
+    want = collections.Counter()
+    for d, t, _ in TEXTS:
+        ids = np.array([*own.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        cuts = packing.cut(len(ids), 2048)
+        assert sum(n for _, n in cuts) == len(ids) and all(n == 2048 for _, n in cuts[1:])
+        want.update((d, i, s, n, zlib.crc32(ids[s:s + n].tobytes())) for i, (s, n) in enumerate(cuts))
+    rows = packing.pack_documents(docs.repartition(5), queries.tokenizer_file()).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    bins = collections.defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in bins.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(bins) == -(-sum(r["length"] for r in rows) // 2048)
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives(spark, version):
+    long = "<p>é</p>" * 200
+    rows = [(1, "http://a b/", long), (2, None, long), (3, "http://c/", long), (4, "u", None), (5, "u", ""),
+            (6, "u", "WARC/1.1\r\n\r\n\n"), (7, "u", "WARC/1.1\r\n\r\n\n"), (3, "http://c/", long), (None, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = archives.archived_pages(pages, archives.Archives(records_per_file=4, arc_version=version)).collect()
+    assert len(got) == len(rows)
+    kinds = collections.Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got)
+    assert kinds[(3, "response", None)] == 1 and kinds[(3, "revisit", 3)] == 1
+    assert kinds[(1, "revisit", 3)] == kinds[(2, "revisit", 3)] == 1
+    assert sum(n for (_, kind, _), n in kinds.items() if kind == "response") == 6
+    html = {p: (h or "").encode() for p, _, h in rows}
+    for r in got:
+        payload = html[r["page_id"]]
+        assert (r["payload_bytes"], r["payload_digest"]) == (len(payload), hashlib.sha1(payload).hexdigest())
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((60, 8))
+    x = np.concatenate([x, x[:30] + rng.standard_normal((30, 8)) * 0.25, x[:5], x[:1] * 3]).astype(np.float32)
+    rows = [(i, [float(v) for v in e], i % 2 if i < 90 else 0) for i, e in enumerate(x)]
+    odd = [(200, None, 0), (201, [0.0] * 8, 0), (202, [float("nan")] + [1.0] * 7, 0), (203, [1.0] * 8, None),
+           (204, [], 0), (None, [1.0] * 8, 0), (205, [1.0, None], 0), (206, [1.0, 2.0], 0), (207, [1.0, 2.0], 0)]
+    vectors = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r for r in grid_join.near_vectors(vectors, grid_join.GridJoin(block_rows=7, fan_out=2, leading=4)).collect()}
+    assert len(got) == len(rows) + len(odd)
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    hit = (y @ y.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(hit, False)
+    low = np.arange(len(rows))
+    for _ in range(100):
+        low = np.minimum(low, np.where(hit, low[None, :], 1 << 30).min(1))
+    assert hit.sum() > 20
+    for i in range(len(rows)):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (hit[i].sum(), low[i], low[i] == i)
+    assert got[206]["n_links"] == 1 and got[207]["component_id"] == 206 and got[201]["kept"]
+    assert got[None]["kept"] is False
+
+
+@pytest.mark.parametrize("name, label, least", [("op1_toxicity", "toxic", 0.93), ("op6_quality_classifier", "quality", 0.95)])
+def test_held_out_accuracy(spark, name, label, least):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.queries()[name](spark, sf).join(read(spark, sf, "labels"), "doc_id").filter("held_out").collect()
+    assert len(rows) > 500 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    assert np.mean([r["predicted"] == r[label] for r in rows]) >= least
+
+
+def test_pipeline(spark):
+    docs = read(spark, SF, "documents")
+    seen, n = docs, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        seen = stage(spark, seen, SF)
+        path = f"{spark.conf.get('spark.checkpoint.dir')}/test-pipeline/{name}"
+        seen.write.mode("overwrite").parquet(path)
+        seen = spark.read.parquet(path)
+        assert seen.columns == docs.columns and 0 < seen.count() <= 2 * n
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in seen.select("doc_id").collect()}
