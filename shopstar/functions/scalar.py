@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, Window as W, WindowSpec, functions as F
+from pyspark.sql.types import DataType
 
 from shopstar.schemas import PARSED
 
@@ -30,9 +31,9 @@ def parse_time(c: Column) -> Column:
     return F.when(t.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"), t)
 
 
-def try_to_numeric(c: Column) -> Column:
+def try_to_numeric(c: Column, kind: DataType = PARSED) -> Column:
     """Drop everything but digits, point and minus, then parse; NULL if that fails."""
-    return F.regexp_replace(c, r"[^0-9.\-]", "").try_cast(PARSED)
+    return F.regexp_replace(c, r"[^0-9.\-]", "").try_cast(kind)
 
 
 def initcap_words(c: Column) -> Column:

@@ -11,7 +11,7 @@ from shopstar.functions.ranking import Spool
 from shopstar.functions.scalar import (
     initcap_words, normalise_payment, parse_iso_date, parse_time, trim_to_null, try_to_numeric)
 from shopstar.functions.skew import HotBuckets, find_hot_buckets, key_bucket, salted
-from shopstar.schemas import MONEY_2, MONEY_4, PRICE, RATING
+from shopstar.schemas import MONEY_2, MONEY_4, PRICE, RATING, WIDE
 
 LINE_KEY = ["invoice_id", "line_no"]
 
@@ -90,6 +90,33 @@ def is_dirty() -> Column:
     )
 
 
+def oversize() -> Column:
+    """A number in the delivered text that its column cannot hold."""
+    found = F.lit(False)
+    for name in NEEDED_NUMBERS:
+        c = F.col(name)
+        found = found | (try_to_numeric(c, WIDE).isNotNull() & try_to_numeric(c).isNull())
+    rating = trim_to_null(F.col("rating"))
+    return found | (rating.try_cast(WIDE).isNotNull() & rating.try_cast(RATING).isNull())
+
+
+def does_not_fit(cfg: RetailConfig) -> Column:
+    """A stored or computed value of a typed line would overflow its column."""
+    gross = F.col("unit_price") * F.col("quantity")
+    stored = (
+        (F.round("line_no"), "int"), (F.round("quantity"), "int"), (F.round("unit_price", 2), PRICE),
+        (F.round(gross, 2), MONEY_2),
+        (F.round(gross * (F.lit(Decimal(1)) + F.lit(cfg.tax_rate)), 4), MONEY_4),
+        (F.col("gross_margin_pct"), "decimal(9,4)"),
+        (F.round(gross * (F.lit(Decimal(1)) - F.col("gross_margin_pct") * F.lit(Decimal("0.01"))), 2), MONEY_2),
+        (F.round(gross * F.col("gross_margin_pct") * F.lit(Decimal("0.01")), 4), MONEY_4),
+    )
+    found = F.col("is_oversize")
+    for value, kind in stored:
+        found = found | (value.isNotNull() & value.try_cast(kind).isNull())
+    return found
+
+
 def typed(marked: DataFrame) -> DataFrame:
     """Typed and conformed columns; raw text of the disputed ones is kept."""
     numbers = [try_to_numeric(F.col(c)).alias(c) for c in NEEDED_NUMBERS]
@@ -114,23 +141,26 @@ def typed(marked: DataFrame) -> DataFrame:
         F.col("unit_price").alias("source_unit_price"),
         is_dirty().alias("is_dirty"),
         "is_duplicate",
+        oversize().alias("is_oversize"),
     )
 
 
 def classify_reject(cfg: RetailConfig) -> Column:
-    """The first reason that applies; NULL for a good line."""
+    """The first reason that applies, to the values as stored; NULL for a good line."""
     c = F.col
     return (
         F.when(c("is_duplicate"), "DUPLICATE_LINE")
         .when(c("invoice_id").isNull(), "MISSING_INVOICE_ID")
+        # Not in the original list either: such a line would stop the load.
+        .when(does_not_fit(cfg), "VALUE_OUT_OF_RANGE")
         .when(c("line_no").isNull(), "MISSING_LINE_NO")
         .when(c("sale_date").isNull(), "INVALID_DATE")
         .when(~c("sale_date").between(F.lit(cfg.window_start), F.lit(cfg.window_end)),
               "DATE_OUT_OF_RANGE")
         .when(c("quantity").isNull(), "INVALID_QUANTITY")
-        .when(c("quantity") <= 0, "NON_POSITIVE_QUANTITY")
+        .when(F.round("quantity") <= 0, "NON_POSITIVE_QUANTITY")
         .when(c("unit_price").isNull(), "INVALID_UNIT_PRICE")
-        .when(c("unit_price") <= 0, "NON_POSITIVE_UNIT_PRICE")
+        .when(F.round("unit_price", 2) <= 0, "NON_POSITIVE_UNIT_PRICE")
         .when(c("sale_time").isNull(), "INVALID_TIME")
         # Not in the original list: without a margin, cost and profit are unknown.
         .when(c("gross_margin_pct").isNull(), "INVALID_MARGIN")

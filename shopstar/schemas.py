@@ -23,6 +23,7 @@ MONEY_4 = T.DecimalType(12, 4)
 PRICE = T.DecimalType(10, 2)
 RATING = T.DecimalType(3, 1)
 PARSED = T.DecimalType(14, 4)
+WIDE = T.DecimalType(38, 4)  # tells a number that does not fit from text that is none
 
 FACT_COLUMNS = {
     "sale_id": "bigint",

@@ -20,7 +20,8 @@ class Landing:
     branches: DataFrame
 
 
-def read_landing_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str, schema: StructType,
+                     line_breaks: bool = False) -> DataFrame:
     """Read a delivered CSV with header as text; unquoted empty fields become NULL.
 
     Columns are matched by position; the check of the header against the
@@ -31,6 +32,8 @@ def read_landing_csv(spark: SparkSession, path: str, schema: StructType) -> Data
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("quote", '"').option("escape", '"')
+        .option("multiLine", line_breaks)
         .csv(path)
     )
 

@@ -57,6 +57,15 @@ def test_reasons_in_order_of_precedence(spark, tmp_path):
         ({"gross_margin_pct": None}, "INVALID_MARGIN"),
         ({"date": "2031-07-14", "quantity": "-1"}, "DATE_OUT_OF_RANGE"),
         ({"line_no": "", "time": "x"}, "MISSING_LINE_NO"),
+        ({"unit_price": "500000000"}, "VALUE_OUT_OF_RANGE"),
+        ({"quantity": "3000000000"}, "VALUE_OUT_OF_RANGE"),
+        ({"line_no": "5000000000"}, "VALUE_OUT_OF_RANGE"),
+        ({"line_no": "99999999999999"}, "VALUE_OUT_OF_RANGE"),
+        ({"unit_price": "99999999", "quantity": "2000"}, "VALUE_OUT_OF_RANGE"),
+        ({"gross_margin_pct": "200000"}, "VALUE_OUT_OF_RANGE"),
+        ({"rating": "100.5"}, "VALUE_OUT_OF_RANGE"),
+        ({"quantity": "0.4"}, "NON_POSITIVE_QUANTITY"),
+        ({"unit_price": "0.004"}, "NON_POSITIVE_UNIT_PRICE"),
     ]
     out = normalised(spark, tmp_path, *(
         {**change, "product_name": str(i)} for i, (change, _) in enumerate(cases)))

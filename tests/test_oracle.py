@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from shopstar.plans import oracle, registry
 from compare import TESTDATA, connect, differences
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -64,6 +64,17 @@ def test_from_csv_to_fact(spark, csv_folder, tmp_path):
     assert audit["raw.sales_landing"] == 5 and audit["marts.fact_sales"] == 3
 
 
+def test_quotes_within_quotes(spark, tmp_path):
+    head = "customer_id,signup_date,gender,home_branch,home_city\n"
+    (tmp_path / "q.csv").write_text(head + '"a ""b"", c","x\\",,"",d\n')
+    (tmp_path / "n.csv").write_text(head + '"a\nb",x,y,z,d\n')
+    read = landing.read_landing_csv
+    assert [tuple(r)[:2] for r in read(spark, str(tmp_path / "q.csv"), schemas.CUSTOMERS_LANDING).collect()] == [
+        ('a "b", c', "x\\")]
+    rows = read(spark, str(tmp_path / "n.csv"), schemas.CUSTOMERS_LANDING, line_breaks=True).collect()
+    assert [r.customer_id for r in rows] == ["a\nb"]
+
+
 def test_files_with_other_columns_fail(spark, tmp_path):
     bad = tmp_path / "x.csv"
     bad.write_text("customer_id,gender,signup_date,home_branch,home_city\n1,2,3,4,5\n")
