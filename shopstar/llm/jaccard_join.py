@@ -56,8 +56,9 @@ def _counters(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, {1: "<u1", 2: "<u2", 8: "<i8"}[len(raw) // BLOCK])
 
 
-def shingle_sketch(docs: DataFrame, rule: JaccardJoin) -> np.ndarray:
-    """How often shingles fall into each of 2**sketch_bits counters, over all documents.
+def shingle_rarity(docs: DataFrame, rule: JaccardJoin) -> np.ndarray:
+    """How often shingles fall into each of 2**sketch_bits counters, over all documents:
+    64 times the binary logarithm.
 
     Tasks count on their own; blocks of counters are added up in two steps, so
     that no group grows with the number of tasks.
@@ -93,10 +94,10 @@ def shingle_sketch(docs: DataFrame, rule: JaccardJoin) -> np.ndarray:
     schema = "block int, part int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema).groupBy("block", "part").applyInArrow(add, schema)
     blocks = parts.groupBy("block").applyInArrow(add, schema).collect()
-    total = np.zeros((size // BLOCK, BLOCK), np.int64)
+    rarity = np.zeros((size // BLOCK, BLOCK), np.uint16)
     for row in blocks:
-        total[row["block"]] = _counters(row["counts"])
-    return total.reshape(-1)
+        rarity[row["block"]] = np.floor(np.log2(_counters(row["counts"]) + 1.0) * 64)
+    return rarity.reshape(-1)
 
 
 def describe(docs: DataFrame, rule: JaccardJoin, rarity: np.ndarray) -> DataFrame:
@@ -106,8 +107,9 @@ def describe(docs: DataFrame, rule: JaccardJoin, rarity: np.ndarray) -> DataFram
     that link share one of them. The signature has a bit per shingle hash,
     combined by exclusive or: as many bits as differ, so many shingles differ at
     least. It is 64 * signature_words bits of a wider one, folded; the wider one
-    has at least half as many bits as the set has shingles. Commonness is how often its shingles occur on average (by the sketch):
-    the original of many edited copies has the most of them.
+    has at least half as many bits as the set has shingles. Commonness is how
+    often its shingles occur on average (by the sketch): the original of many
+    edited copies has the most of them.
     """
     words, percent, sig_words = rule.words, rule.percent, rule.signature_words
     shift = np.uint64(64 - rule.sketch_bits)
@@ -250,9 +252,7 @@ def near_duplicates(docs: DataFrame, rule: JaccardJoin = JaccardJoin()) -> DataF
     links with any of their texts links with it. All rows are returned.
     """
     spool = Spool(docs.sparkSession, "jaccard")
-    counts = shingle_sketch(docs, rule)
-    rarity = np.floor(np.log2(counts + 1) * 64).astype(np.uint16)
-    described = spool.write(describe(docs, rule, rarity), "described")
+    described = spool.write(describe(docs, rule, shingle_rarity(docs, rule)), "described")
     some = described.filter("n > 0")
     classes = spool.write(
         some.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id")).filter("id is not null"), "classes")
