@@ -5,6 +5,7 @@ Every signal is one row: its name, the measured value and whether it passed.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +14,7 @@ from shopstar.config import RetailConfig
 from shopstar.functions.ranking import Spool, global_row_number
 from shopstar.functions.scalar import dbl, mean, ratio, rnd
 from shopstar.operators.branch import is_peak
+from shopstar.sources.store import date_range
 
 # The bounds a signal has to reach.
 DEFECT_BAND = (0.03, 0.06)
@@ -83,7 +85,8 @@ def _year_on_year(fact: DataFrame, year: int) -> DataFrame:
     def of(y: int) -> Column:
         return F.max(F.when(F.col("yr") == y, F.col("rev")))
 
-    return _yearly(fact).agg((ratio(of(year), of(year - 1)) - 1).alias("yoy"))
+    both = date_range(fact, F.lit(date(year - 1, 1, 1)), F.lit(date(year, 12, 31)))
+    return _yearly(both).agg((ratio(of(year), of(year - 1)) - 1).alias("yoy"))
 
 
 def dip_year(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
