@@ -160,7 +160,58 @@ def branch_drillthrough(wh) -> DataFrame:
         "year_number")
 
 
+def measure_time_by_region(wh) -> DataFrame:
+    """The trend page by region under a product line slicer."""
+    by = ["region", "year_month"]
+    names = ["total_revenue", "revenue_ytd", "revenue_ly_ytd", "revenue_mom_pct", "revenue_3m_avg",
+             "revenue_rolling_12m"]
+    return done(measures(wh, names, by, {"product_line": list(wh.cfg.slicer_lines)}), *by)
+
+
+def measure_year_to_date_cards(wh) -> DataFrame:
+    """The period cards under a year and a region slicer."""
+    return done(measures(
+        wh, ["total_revenue", "revenue_ytd", "revenue_ly_ytd", "revenue_rolling_12m"],
+        filters={"year_number": wh.cfg.slicer_year, "region": wh.cfg.slicer_region}))
+
+
+def measure_quarters(wh) -> DataFrame:
+    """Weekends and weekdays of each quarter, by branch size."""
+    by = ["quarter_number", "is_weekend", "size_band"]
+    return done(measures(wh, ["total_revenue", "line_items"], by), *by)
+
+
+def measure_segment_profit(wh) -> DataFrame:
+    """Profit, invoices and rating by segment, with growth under a year slicer."""
+    by = ["rfm_segment"]
+    return done(measures(
+        wh, ["total_revenue", "gross_profit", "invoices", "avg_rating", "revenue_yoy_pct"], by,
+        {"year_number": wh.cfg.slicer_year}), *by)
+
+
+def measure_hours_of_champions(wh) -> DataFrame:
+    """Sales by hour under a segment slicer, and the share that segment has of each hour."""
+    by = ["sale_hour"]
+    return done(measures(
+        wh, ["total_revenue", "champions_revenue", "champions_pct", "revenue_at_risk"], by,
+        {"rfm_segment": "Champions"}), *by)
+
+
+def measure_customers_by_segment(wh) -> DataFrame:
+    """Customer figures by segment and activity."""
+    by = ["rfm_segment", "activity_status"]
+    return done(measures(
+        wh, ["active_customers", "customer_lifetime_value", "repeat_customer_pct",
+             "avg_days_since_purchase", "new_customers"], by), *by)
+
+
 PAGES = {
+    "measure_time_by_region": measure_time_by_region,
+    "measure_year_to_date_cards": measure_year_to_date_cards,
+    "measure_quarters": measure_quarters,
+    "measure_segment_profit": measure_segment_profit,
+    "measure_hours_of_champions": measure_hours_of_champions,
+    "measure_customers_by_segment": measure_customers_by_segment,
     "page_exec_kpis": exec_kpis,
     "page_exec_kpis_sliced": exec_kpis_sliced,
     "page_exec_trend": exec_trend,

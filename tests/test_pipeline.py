@@ -146,8 +146,43 @@ def test_ranks_need_no_single_task_over_detail_rows(spark, wh):
 def test_measure_guards(wh):
     with pytest.raises(KeyError):
         measures.measures(wh, ["no_such_measure"])
-    with pytest.raises(ValueError):
-        measures.measures(wh, ["invoices"], ["rfm_segment"])
+    with pytest.raises(KeyError):
+        measures.measures(wh, ["invoices"], ["no_such_column"])
+
+
+def test_period_measures_by_month_are_those_of_the_trend(wh):
+    names = [*measures.PERIODS, "revenue_ly", "revenue_yoy_pct", "profit_yoy_pct"]
+    got = measures.done(measures.measures(wh, names, ["year_month"])).collect()
+    want = measures.time_measures(wh).select("year_month", *names).collect()
+    assert sorted(got) == sorted(want)
+
+
+def test_periods_end_with_the_last_date_chosen(wh):
+    """A weekday slicer only sets the last date; the period itself holds all days."""
+    row = measures.measures(
+        wh, ["total_revenue", "revenue_ytd"],
+        filters={"year_month": "2000-05", "day_name": "Monday"}).first()
+    days = wh.fact_sales.filter("sale_date between '2000-01-01' and '2000-05-29'")
+    assert row.revenue_ytd == pytest.approx(float(days.agg({"total_amount": "sum"}).first()[0]))
+    assert row.total_revenue < row.revenue_ytd
+
+
+def test_every_measure_takes_any_context(wh):
+    """All measures, by a fact column and a segment, under slicers of every table."""
+    names = [*measures.base_measures(wh.cfg), *measures.LAST_YEAR, *measures.PERIODS,
+             *measures.CUSTOMER, "new_customers"]
+    df = measures.measures(
+        wh, names, ["sale_hour", "value_band", "home_city", "quarter_name"],
+        {"region": ["Asia", "Europe"], "activity_status": ["Active", "Dormant"], "is_weekend": True})
+    assert set(names) <= set(df.columns)
+    assert df.count() > 0
+
+
+def test_segment_revenue_replaces_the_segment_of_its_context(wh):
+    rows = measures.measures(wh, ["champions_revenue", "champions_pct"], ["rfm_segment"]).collect()
+    plain = measures.measures(wh, ["champions_revenue", "champions_pct"]).first()
+    assert {(r.champions_revenue, r.champions_pct) for r in rows} == {
+        (plain.champions_revenue, plain.champions_pct)}
 
 
 def test_slicers_prune_months_and_do_not_change_shares(wh):
