@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shopstar.llm.tables import beside
+from shopstar.llm.tables import Spool, beside
 from shopstar.llm.text import BLANKS, hash_pair, lower_ascii, row_id, whole
 
+# A key with more than this part of all shared lines is met by broadcast: there
+# are fewer than 1 / HOT_SHARE of those, whatever the input.
+HOT_SHARE = 0.001
+
 
 def shared_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
     """(r1, r2, at): positions of the lines that go, and the rows (by hash) they are in.
@@ -14,7 +18,8 @@ def shared_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> Da
     Lines are told apart by two 64-bit hashes of their key. A key is counted by
     document in two steps, pairs of key and document first and keys then, so a
     line that is everywhere is summed up before it meets in one task. The lines
-    of such a key go through a join whose large parts Spark splits.
+    of such a key get their keeper by broadcast and are dealt by position in the
+    join that serves all other keys, so they do not meet in one task there either.
     """
     r1, r2 = row_id("doc_id", "text")
     lines = docs.select(
@@ -25,13 +30,23 @@ def shared_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> Da
     keyed = (
         lines.withColumn("_key", key).filter(F.length("_key") >= min_length)
         .select("doc_id", "r1", "r2", "at", k1.alias("k1"), k2.alias("k2")))
-    common = (
-        keyed.groupBy("k1", "k2", "doc_id").agg(F.lit(1).alias("_one"))
-        .groupBy("k1", "k2").agg(F.count("doc_id").alias("_docs"), F.max("doc_id").alias("_keeper"))
-        .filter(F.col("_docs") >= min_docs).select("k1", "k2", "_keeper"))
+    common = Spool(docs.sparkSession, "lines").write(
+        keyed.groupBy("k1", "k2", "doc_id").agg(F.count("*").alias("_n"))
+        .groupBy("k1", "k2").agg(
+            F.count("doc_id").alias("_docs"), F.max("doc_id").alias("_keeper"), F.sum("_n").alias("_lines"))
+        .filter(F.col("_docs") >= min_docs).select("k1", "k2", "_keeper", "_lines"), "common")
+    is_hot = F.col("_lines") > common.agg(F.sum("_lines") * HOT_SHARE).scalar()
+    hot = common.filter(is_hot).select("k1", "k2", F.col("_keeper").alias("_hot"))
+    rest = common.filter(~is_hot).select(F.col("k1").alias("_j1"), F.col("k2").alias("_j2"), "_keeper")
+    found = F.col("_hot").isNotNull()
+    dealt = keyed.join(F.broadcast(hot), ["k1", "k2"], "left").select(
+        "doc_id", "r1", "r2", "at", "_hot",
+        F.when(found, F.col("r1")).otherwise(F.col("k1")).alias("_j1"),
+        F.when(found, F.col("at")).otherwise(F.col("k2")).alias("_j2"))
+    keeper = F.coalesce("_hot", "_keeper")
     return (
-        keyed.join(common, ["k1", "k2"])
-        .filter(~F.col("doc_id").eqNullSafe(F.col("_keeper")))
+        dealt.join(rest, ["_j1", "_j2"], "left")
+        .filter(keeper.isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") != keeper)))
         .select("r1", "r2", "at"))
 
 

@@ -71,7 +71,10 @@ def test_empty_tables(spark, docs):
     assert {r["score"] for r in quality_net.score_quality(docs, labels).collect()} == {0.5}
 
 
-def test_line_dedup(docs):
+@pytest.mark.parametrize("hot_share", [0, 0.001, 1])
+def test_line_dedup(docs, monkeypatch, hot_share):
+    """Alike whether all shared lines are met by broadcast, some or none."""
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", hot_share)
     key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
     held = collections.defaultdict(set)
     for d, t, _ in TEXTS:
