@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from typing import TYPE_CHECKING
+from typing import TYPE_CHECKING, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.functions.scalar import all_rows, initcap_words, pct
 from shopstar.functions.skew import lookup
 from shopstar.operators.clean import PAYMENT_METHODS
-from shopstar.operators.dims import UNKNOWN_KEY, never_activated
+from shopstar.operators.dims import UNKNOWN_KEY
 
 if TYPE_CHECKING:
     from shopstar.plans.warehouse import Warehouse
@@ -275,38 +275,50 @@ def dq_gate(results: DataFrame) -> int:
     return results.count()
 
 
+class Hop(NamedTuple):
+    """A counted step of the load; `after` is the stored table that completes it."""
+
+    step: str
+    table: str
+    after: str
+    notes: str | None
+    rows: Callable[[DataFrame], DataFrame] = lambda stored: stored
+
+
+# Step names, table names and notes of the trail.
+HOPS = (
+    Hop("extract", "raw.sales_landing", "sales_landing", "rows as delivered by source"),
+    Hop("reject", "staging.stg_sales_rejects", "stg_sales_rejects", "quarantined with reason code"),
+    Hop("clean", "staging.stg_sales", "stg_sales_sorted", "typed, deduplicated, conformed"),
+    Hop("dimensions", "marts.dim_date", "dim_date", None),
+    Hop("dimensions", "marts.dim_branch", "dim_branch", None),
+    Hop("dimensions", "marts.dim_product", "dim_product", None),
+    Hop("dimensions", "marts.dim_customer", "dim_customer_static", None),
+    Hop("dimensions", "marts.dim_payment", "dim_payment", None),
+    Hop("load", "marts.fact_sales", "fact_sales", "invoice-line grain, surrogate keys resolved"),
+    Hop("enrich", "marts.dim_customer", "dim_customer", "customers with at least one purchase",
+        lambda c: c.filter("first_purchase_date is not null")),
+    Hop("enrich", "marts.dim_customer.never_activated", "dim_customer", "signed up, never transacted",
+        lambda c: c.filter("is_member and first_purchase_date is null")),
+    Hop("rfm", "staging.customer_rfm", "customer_rfm", "scored customers"),
+    Hop("powerbi", "marts.dim_customer_rfm", "dim_customer_rfm", "RFM segment dimension"),
+)
+
+
+def hop_row(audit_id: int, stored: DataFrame) -> DataFrame:
+    """The audit row of a hop, with the time at which it is written."""
+    hop = HOPS[audit_id - 1]
+    return hop.rows(stored).agg(F.count("*").alias("row_count")).select(
+        F.lit(audit_id).alias("audit_id"), F.lit(hop.step).alias("step_name"),
+        F.lit(hop.table).alias("table_name"), "row_count",
+        F.current_timestamp().alias("loaded_at"), F.lit(hop.notes).cast("string").alias("notes"))
+
+
 def append_audit(wh: "Warehouse") -> DataFrame:
-    """Row count at every hop, in load order."""
-    purchasers = wh.dim_customer.filter(F.col("first_purchase_date").isNotNull())
-    dormant = never_activated(wh.dim_customer).select(F.col("never_activated").alias("row_count"))
-    # Step names, table names and notes of the trail.
-    hops = [
-        ("extract", "raw.sales_landing", wh.sales_landing, "rows as delivered by source"),
-        ("reject", "staging.stg_sales_rejects", wh.stg_sales_rejects,
-         "quarantined with reason code"),
-        ("clean", "staging.stg_sales", wh.stg_sales, "typed, deduplicated, conformed"),
-        ("dimensions", "marts.dim_date", wh.dim_date, None),
-        ("dimensions", "marts.dim_branch", wh.dim_branch, None),
-        ("dimensions", "marts.dim_product", wh.dim_product, None),
-        ("dimensions", "marts.dim_customer", wh.dim_customer, None),
-        ("dimensions", "marts.dim_payment", wh.dim_payment, None),
-        ("load", "marts.fact_sales", wh.fact_sales,
-         "invoice-line grain, surrogate keys resolved"),
-        ("enrich", "marts.dim_customer", purchasers, "customers with at least one purchase"),
-        ("enrich", "marts.dim_customer.never_activated", dormant, "signed up, never transacted"),
-        ("rfm", "staging.customer_rfm", wh.customer_rfm, "scored customers"),
-        ("powerbi", "marts.dim_customer_rfm", wh.dim_customer_rfm, "RFM segment dimension"),
-    ]
-
-    def hop(i: int, step: str, table: str, df: DataFrame, notes: str | None) -> DataFrame:
-        counted = df if df is dormant else df.agg(F.count("*").alias("row_count"))
-        return counted.select(
-            F.lit(i).alias("audit_id"), F.lit(step).alias("step_name"),
-            F.lit(table).alias("table_name"), "row_count",
-            F.current_timestamp().alias("loaded_at"),
-            F.lit(notes).cast("string").alias("notes"))
-
-    return reduce(DataFrame.unionByName, (hop(i, *h) for i, h in enumerate(hops, 1)))
+    """Row count at every hop, in load order, as noted when each step ended."""
+    for hop in HOPS:
+        wh.table(hop.after)
+    return wh.audit_trail()
 
 
 def load_audit_report(audit: DataFrame) -> DataFrame:

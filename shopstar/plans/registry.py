@@ -19,6 +19,7 @@ def _steps() -> dict[str, Operator]:
     """Single build steps, in build order."""
     p = profiles
     return {
+        "read_landing_csv": lambda w: w.landed_from_csv(),
         "try_to_date": lambda w: p.try_to_date(w.sales_landing),
         "try_to_numeric": lambda w: p.try_to_numeric(w.sales_landing),
         "dedupe_lines": lambda w: p.dedupe_lines(w.normalised),

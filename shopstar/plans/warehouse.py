@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
 from shopstar.operators import clean, dims, fact, quality, rfm, semantic
 from shopstar.functions.ranking import range_sorted
 from shopstar.sources import store
-from shopstar.sources.landing import Landing
+from shopstar.sources.landing import Landing, read_landing_csv, write_landing_csv
 from shopstar.sources.sample_landing import sample_landing
 
 RAW, STAGING, MARTS = "raw", "staging", "marts"
@@ -55,6 +56,7 @@ class Warehouse:
         self.cfg = cfg
         self.timings: dict[str, float] = {}
         self._built: dict[str, DataFrame] = {}
+        self._noted: list[str] = []
         self._lock = threading.RLock()
 
     def table(self, name: str) -> DataFrame:
@@ -63,6 +65,7 @@ class Warehouse:
                 started = time.perf_counter()
                 before = sum(self.timings.values())
                 self._built[name] = self._build(name)
+                self._note_hops(name)
                 inner = sum(self.timings.values()) - before
                 self.timings[name] = time.perf_counter() - started - inner
             return self._built[name]
@@ -76,10 +79,31 @@ class Warehouse:
     def stg_sales(self) -> DataFrame:
         return self.stg_sales_sorted.drop("_pos")
 
+    def _note_hops(self, name: str) -> None:
+        """Write the audit rows of the steps that the table ends; a load that fails keeps them."""
+        trail = f"{self.folder}/{STAGING}/load_trail"
+        for audit_id, hop in enumerate(quality.HOPS, 1):
+            if hop.after == name:
+                if not self._noted:
+                    store.remove_folder(self.spark, trail)
+                path = f"{trail}/{audit_id:02d}"
+                store.write_table(quality.hop_row(audit_id, self._built[name]), path)
+                self._noted.append(path)
+
+    def audit_trail(self) -> DataFrame:
+        """The audit rows noted so far; there are some once the sales have landed."""
+        return self.spark.read.parquet(*self._noted)
+
     def spool(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate table; every call gets a folder of its own."""
         return store.write_table(df, f"{self.folder}/spool/{name}-{uuid.uuid4().hex}")
 
+    def landed_from_csv(self) -> DataFrame:
+        """The landed sales, delivered as CSV in the shared folder and read from there."""
+        path = f"{self.folder}/spool/sales-csv-{uuid.uuid4().hex}"
+        write_landing_csv(self.sales_landing.select(*schemas.SALES_LANDING.names), path)
+        return read_landing_csv(self.spark, path, schemas.SALES_LANDING)
+
     def _path(self, name: str) -> str:
         return f"{self.folder}/{TABLES.get(name, MARTS)}/{name}"
 

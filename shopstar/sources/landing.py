@@ -38,6 +38,17 @@ def read_landing_csv(spark: SparkSession, path: str, schema: StructType,
     )
 
 
+def write_landing_csv(rows: DataFrame, path: str) -> None:
+    """Deliver rows as read_landing_csv takes them: a header, quotes doubled, blanks kept."""
+    (
+        rows.write.mode("errorifexists")
+        .option("header", True)
+        .option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def read_landing(spark: SparkSession, folder: str) -> Landing:
     def read(name: str, schema: StructType) -> DataFrame:
         return read_landing_csv(spark, f"{folder}/{name}.csv", schema)

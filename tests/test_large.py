@@ -14,7 +14,7 @@ NAMES = (
     "fact_sales", "rfm_segment", "basket_affinity", "customer_new_vs_returning",
     "customer_value_deciles", "product_abc_skus", "product_abc_summary", "product_cross_category",
     "dq_no_orphans", "page_product_pareto", "page_customer_segments", "page_exec_region_matrix",
-    "page_branch_scorecard", "sig_top20_share",
+    "page_branch_scorecard", "sig_top20_share", "measure_segment_profit", "measure_time_by_region",
 )
 
 

@@ -107,6 +107,22 @@ def test_out_of_window_rows_stop_the_load(wh):
             wh.fact_sales, wh.cfg.with_(window_end=date(2001, 1, 1)))
 
 
+def test_a_failed_load_keeps_its_trail(spark, tmp_path, wh, monkeypatch):
+    """Hops are noted as they end, each with its own time."""
+    from shopstar.plans.warehouse import Warehouse, run_pipeline
+
+    def stop(*_):
+        raise fact_ops.OutOfWindowError("stopped")
+
+    monkeypatch.setattr(fact_ops, "assert_no_default_partition", stop)
+    stopped = Warehouse(spark, wh.landing, str(tmp_path), wh.cfg)
+    with pytest.raises(fact_ops.OutOfWindowError):
+        run_pipeline(stopped)
+    trail = stopped.audit_trail().orderBy("audit_id").collect()
+    assert [r.step_name for r in trail] == ["extract", "reject", "clean", *["dimensions"] * 5]
+    assert len({r.loaded_at for r in trail}) == len(trail)
+
+
 def test_both_layouts_answer_alike(wh):
     flat = wh.fact_sales_flat
     for name, run in layout.QUERIES.items():
