@@ -8,6 +8,9 @@ from shopstar.llm import jaccard_join, line_dedup, mixing, packing, quality_rule
 from shopstar.llm.queries import tokenizer_file
 from shopstar.llm.tables import Spool, aside, read, restored
 
+# Near copies of the stage; the defaults of the join are those of the op3 contract.
+NEAR_COPIES = jaccard_join.JaccardJoin(words=5, percent=80)
+
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; null and empty texts do not."""
@@ -21,8 +24,11 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group of near-duplicates."""
-    return jaccard_join.first_of_each(docs)
+    """The document with the smallest doc_id of every group of near-duplicates.
+
+    Texts are near-duplicates if they share at least 80 % of their 5-word shingles.
+    """
+    return jaccard_join.first_of_each(docs, NEAR_COPIES)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

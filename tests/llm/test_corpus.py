@@ -191,6 +191,43 @@ def test_jaccard_join(spark, docs):
             assert (r["n_shingles"], r["component_id"]) == (len(texts[r["doc_id"]][0]), low[r["doc_id"]])
 
 
+def test_pipeline_near_copies(spark, docs):
+    """The stage against all pairs of 5-word shingle sets, with copies that 3 words and 90 % do not link."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for base in range(6):
+        original = [f"b{base}-{i}" for i in range(100)]
+        for copy in range(6):
+            w = list(original)
+            for at in rng.choice(100, copy, replace=False):
+                w[at] = f"e{base}-{copy}-{at}"
+            rows.append((100 + 10 * base + copy, " ".join(w), "s", "x", 1))
+        rows.append((106 + 10 * base, " ".join(original + [f"a{base}-{i}" for i in range(20)]), "s", "x", 1))
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+
+    def components(size, percent):
+        sets = collections.defaultdict(list)
+        for d, t, *_ in [*TEXTS, *rows]:
+            w = lower(t or "").encode().split()
+            grams = zip(*(w[i:] for i in range(size)), strict=False)
+            sets[d].append(frozenset(grams if len(w) >= size else [tuple(w)] if w else []))
+        low = {d: d for d in sets if d is not None}
+        for _ in range(10):
+            for a in low:
+                for b in low:
+                    if any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
+                        low[a] = min(low[a], low[b])
+        return low
+
+    want, strict = components(5, 80), components(3, 90)
+    assert sum(want[d] != strict[d] for d in want) >= 6
+    got = corpus_pipeline.keep_one_of_near_copies(spark, both, SF)
+    assert got.columns == both.columns
+    ids = collections.Counter(r["doc_id"] for r in got.collect())
+    every = collections.Counter(r[0] for r in [*TEXTS, *rows])
+    assert ids == {d: n for d, n in every.items() if d is None or want[d] == d}
+
+
 def test_mixing(spark, docs):
     big = spark.createDataFrame(
         [(i, "w " * (1 + i % 37), f"s{i % 3}" if i % 11 else None, "x", 1) for i in range(3000)], docs.schema)
