@@ -20,8 +20,8 @@ class Ftrl:
     """rows_per_class bounds the labelled sample that is fitted, per class.
 
     bits: log2 of the number of coordinates. alpha, beta: learning rate of a
-    coordinate; l1 keeps coordinates with little evidence at 0, l2 shrinks. Both
-    classes weigh as they do in the sample, so toxic texts rather count too much.
+    coordinate; l1 keeps coordinates with little evidence at 0, l2 shrinks. Where
+    the bound cuts a class, scores are brought back to the mix of all labels.
     """
 
     rows_per_class: int = 8_000
@@ -112,13 +112,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Ftrl = Ftrl()) -> D
 
     Labels are learnt from rows outside the held-out fold only. Null and empty
     texts get the score of the bias. A row without an id is not held out and
-    never learnt from. Without labels, or with one class only, every score is
-    the share of label 1 (0.5 for none). Repeated rows are scored alike.
+    never learnt from. Without labels, with one class only, or with no evidence,
+    every score is the share of label 1 (0.5 for none). Repeated rows are scored
+    alike.
     """
-    chosen, _ = sample(labels, "toxic", rule.folds, rule.out, rule.rows_per_class)
+    chosen, correction = sample(labels, "toxic", rule.folds, rule.out, rule.rows_per_class)
     places, values, share = train(docs, chosen, rule)
     if share in (0.0, 1.0) or not len(places):
-        score = F.lit(float(share))
+        odds = np.exp(correction)
+        score = F.lit(float(share * odds / (share * odds + 1 - share)))
         return docs.select(
             "doc_id", held_out(rule.folds, rule.out).alias("held_out"), score.alias("score"),
             (score >= 0.5).cast("int").alias("predicted"))
@@ -134,7 +136,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Ftrl = Ftrl()) -> D
                 at = features(text.as_py(), bits)
                 at = np.unique(at[weights[at] != 0])
                 out.append(float(weights[at].sum(dtype=np.float64)))
-            p = 1 / (1 + np.exp(-np.clip(np.array(out), -35, 35)))
+            p = 1 / (1 + np.exp(-np.clip(np.array(out) + correction, -35, 35)))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"], "score": p, "predicted": (p >= 0.5).astype(np.int32)})
 

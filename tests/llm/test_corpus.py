@@ -330,6 +330,30 @@ def test_held_out_accuracy(spark, name, label, least):
     assert np.mean([r["predicted"] == r[label] for r in rows]) >= least
 
 
+@pytest.mark.parametrize("told", [True, False])
+def test_toxic_share_of_a_cut_sample(spark, told):
+    """Scores follow the mix of all labels although the bound cuts the larger class, with and without evidence."""
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i % 10 == 0)) for i in range(3000)]
+    text = lambda y: "awful" if told and rng.random() < (0.9 if y else 0.1) else "fine"
+    docs = spark.createDataFrame([(i, text(y)) for i, y in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, y in rows], "doc_id long, quality int, toxic int")
+    rule = toxicity.Ftrl(rows_per_class=200)
+    got = toxicity.score_toxicity(docs, labels, rule).filter("held_out").collect()
+    assert len(got) > 500 and abs(np.mean([r["score"] for r in got]) - 0.1) < 0.05
+
+
+def test_held_out_toxicity_of_a_cut_sample(spark):
+    sf = "/root/testdata/sf0.1"
+    rule = toxicity.Ftrl(rows_per_class=300)
+    rows = toxicity.score_toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"), rule).join(
+        read(spark, sf, "labels"), "doc_id").filter("held_out").collect()
+    right = np.mean([r["predicted"] == r["toxic"] for r in rows])
+    found = sum(r["predicted"] for r in rows if r["toxic"] == 1)
+    flagged = sum(r["predicted"] for r in rows if r["toxic"] == 0)
+    assert right >= 0.96 and flagged <= 5 and found >= 65
+
+
 def test_pipeline(spark):
     docs = read(spark, SF, "documents")
     seen, n = docs, docs.count()
