@@ -86,7 +86,7 @@ def blocks(classes: DataFrame, axes: np.ndarray, rule: GridJoin, spool: Spool) -
     The order is by label and then by the grid cells of the leading principal
     dimensions, cells being as wide as the reach; range partitioning runs over
     all of it, so a large label spreads over many tasks. Boxes are those of the
-    rotated vectors.
+    rotated vectors, and without bounds for vectors of other lengths.
     """
     k, reach = rule.leading, rule.reach
     dims = len(axes)
@@ -121,7 +121,7 @@ def blocks(classes: DataFrame, axes: np.ndarray, rule: GridJoin, spool: Spool) -
         def block():
             raw = np.array([r[2] for r in held], np.float32)
             x = _unit(raw.astype(np.float64))
-            turned = (x @ axes[:, :k]) if raw.shape[1] == dims else np.zeros((len(x), 1))
+            turned = (x @ axes[:, :k]) if raw.shape[1] == dims else np.array([[-np.inf] * k, [np.inf] * k])
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((
                 key[0], key[1], np.array([r[0] for r in held], "<i8").tobytes(),
                 np.array([r[1] for r in held], "<i8").tobytes(), raw.astype("<f4").tobytes(),

@@ -322,6 +322,23 @@ def test_near_vectors(spark):
     assert got[None]["kept"] is False
 
 
+def test_near_vectors_of_a_second_length(spark):
+    """Links between blocks of a rarer length, which two labels with distant boxes stand around."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for label, side in ((0, 0.6), (1, -0.6)):
+        for i in range(60):
+            e = np.array([0.8 * (-1) ** i, side, 0, 0, 0, 0, 0, 0]) + rng.standard_normal(8) * 0.02
+            rows.append((1000 * label + i, [float(v) for v in e.astype(np.float32)], label))
+    rows += [(500 + i, [float(v) for v in (1 + rng.standard_normal(9) * 0.02).astype(np.float32)], 0) for i in range(45)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for fan_out in (2, 3, 4):
+        rule = grid_join.GridJoin(block_rows=4, fan_out=fan_out, leading=4)
+        got = {r["vec_id"]: r for r in grid_join.near_vectors(vectors, rule).collect()}
+        for i in range(500, 545):
+            assert (got[i]["n_links"], got[i]["component_id"]) == (44, 500)
+
+
 @pytest.mark.parametrize("name, label, least", [("op1_toxicity", "toxic", 0.93), ("op6_quality_classifier", "quality", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
     sf = "/root/testdata/sf0.1"
