@@ -23,7 +23,7 @@ BASE = {
 # A cheap look whether a text can hold a match at all.
 HINT = {
     "email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}", "local_phone": r"[0-9][\x20.-][0-9]", "secret": r"[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}", "local_phone": r"[0-9][\x20.-][0-9]", "secret": r"[a-z0-9]{16}|AKIA[A-Z0-9]{16}",
 }
 OCTETS = r"^0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])){3}$"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
