@@ -389,3 +389,33 @@ def test_pipeline(spark):
         assert seen.columns == docs.columns and 0 < seen.count() <= 2 * n
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in seen.select("doc_id").collect()}
+
+
+def test_pipeline_lines_and_near_copies(spark):
+    """Both stages on their own input against plain Python, every document and text."""
+    docs = corpus_pipeline.reject_low_quality(spark, read(spark, SF, "documents"), SF).cache()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
+    held = collections.defaultdict(set)
+    for d, t in texts.items():
+        for line in t.split("\n"):
+            if len(key(line)) >= 20:
+                held[key(line)].add(d)
+    want = {d: "\n".join(x for x in t.split("\n") if len(held[key(x)]) < 3 or max(held[key(x)]) == d)
+            for d, t in texts.items()}
+    lines = corpus_pipeline.drop_shared_lines(spark, docs, SF).cache()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.collect()} == {d: (t, len(t)) for d, t in want.items()}
+
+    sets = {}
+    for d, t in want.items():
+        w = lower(t).encode().split()
+        sets[d] = set(zip(*(w[i:] for i in range(5)), strict=False)) if len(w) >= 5 else {tuple(w)} if w else set()
+    low = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    got = corpus_pipeline.keep_one_of_near_copies(spark, lines, SF).collect()
+    assert {r["doc_id"] for r in got} ^ {d for d in low if low[d] == d} == set()
+    assert len({r["doc_id"] for r in got}) == len(got) < len(want)
