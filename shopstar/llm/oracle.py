@@ -87,10 +87,102 @@ FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY
 """
 
 
+EXACT = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM t JOIN g USING (text)
+"""
+
+DIVERGENCE = """
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT doc_id, lang, source,
+           unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), per_doc AS (
+    SELECT doc_id, lang, source, term, count(*) AS n FROM words GROUP BY ALL
+), lang_terms AS (
+    SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM per_doc GROUP BY lang, term HAVING count(*) >= 10
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM lang_terms GROUP BY lang
+), source_terms AS (
+    SELECT p.lang, p.source, p.term, CAST(sum(p.n) AS HUGEINT) AS n
+    FROM per_doc AS p JOIN lang_terms USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT g.lang, g.source, coalesce(sum(s.n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM d) AS g LEFT JOIN source_terms AS s USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT g.lang, g.source, t.term, coalesce(s.n, 0) AS n,
+           1 + (1000000000 * (coalesce(s.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+           1 + (1000000000 * (t.n + 2)) // (l.total + 2 * l.v) AS q
+    FROM groups AS g JOIN langs AS l USING (lang) JOIN lang_terms AS t USING (lang)
+    LEFT JOIN source_terms AS s ON s.lang = g.lang AND s.source = g.source AND s.term = t.term
+), met AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares AS a JOIN shares AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(m.value, 0) AS value
+    FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN met AS m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+), every AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def centroid_sql(rounds: int = 5, clusters: int = 40) -> str:
+    """Lloyd's rounds one after the other, every vector against every centroid."""
+    ctes = [f"""
+kept AS (
+    SELECT vec_id, sha256('2:' || CAST(vec_id AS VARCHAR)) AS hash,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT vec_id, unnest(e) AS x, unnest(range(64)) AS i FROM kept
+), c0 AS (
+    SELECT c, unnest(e) AS x, unnest(range(64)) AS i
+    FROM (SELECT row_number() OVER (ORDER BY hash) - 1 AS c, e FROM kept QUALIFY c < {clusters})
+)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+a{r} AS (
+    SELECT vec_id, arg_min(c, d * {clusters} + c) AS c, min(d) AS d FROM (
+        SELECT vec_id, c, sum((p.x - k.x) * (p.x - k.x)) AS d FROM parts AS p JOIN c{r} AS k USING (i) GROUP BY vec_id, c)
+    GROUP BY vec_id
+)""")
+        if r < rounds:
+            ctes.append(f"""
+m{r} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM parts JOIN a{r} USING (vec_id) GROUP BY c, i
+), c{r + 1} AS (
+    SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{r} LEFT JOIN m{r} USING (c, i)
+)""")
+    return f"""
+WITH {",".join(ctes)},
+hashes AS (
+    SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} AS a JOIN hashes USING (c)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_ngram_jaccard_join": JACCARD,
         "op4_line_dedup": LINE_DEDUP,
         "op7_warc": WARC,
         "op9_embedding_near_dedup": EMBEDDINGS,
+        "op11_centroid_clustering": centroid_sql(),
+        "op12_source_divergence": DIVERGENCE,
+        "op13_exact_dedup": EXACT,
     }

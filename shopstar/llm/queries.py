@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopstar.llm import (
-    archives, grid_join, jaccard_join, line_dedup, mixing, packing, pii, quality_net, quality_rules,
-    toxicity)
+    archives, centroids, divergence, exact_dedup, grid_join, jaccard_join, line_dedup, mixing, packing,
+    pii, quality_net, quality_rules, toxicity)
 from shopstar.llm.tables import read
 
 
@@ -73,6 +73,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_copies(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -85,4 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_mix_sources": op10_mix_sources,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_exact_dedup": op13_exact_dedup,
     }

@@ -48,6 +48,11 @@ def restored(df: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
         for c in docs.columns])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 class Spool:
     """Intermediate tables of one operator call, on storage that all executors share.
 
