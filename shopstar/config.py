@@ -87,6 +87,8 @@ class RetailConfig:
     skew_min_rows: int = 5_000_000
     # Baskets wider than this are counted in blocks of this many products.
     basket_block: int = 64
+    # So many blocks of one basket meet as many others in one task.
+    basket_side: int = 64
 
     def with_(self, **changes) -> "RetailConfig":
         return replace(self, **changes)

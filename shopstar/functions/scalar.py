@@ -31,9 +31,14 @@ def parse_time(c: Column) -> Column:
     return F.when(t.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"), t)
 
 
+def numeric_text(c: Column) -> Column:
+    """Drop everything but digits, point and minus."""
+    return F.regexp_replace(c, r"[^0-9.\-]", "")
+
+
 def try_to_numeric(c: Column, kind: DataType = PARSED) -> Column:
-    """Drop everything but digits, point and minus, then parse; NULL if that fails."""
-    return F.regexp_replace(c, r"[^0-9.\-]", "").try_cast(kind)
+    """The number in a text with all its decimals; NULL if there is none."""
+    return numeric_text(c).try_cast(kind)
 
 
 def initcap_words(c: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, mean, money, pct, ratio, rnd
-from shopstar.operators.common import distinct_per, identified, summarise, with_calendar
-from shopstar.operators.product import yearly_shares
+from shopstar.operators.common import (
+    FIRST_OF, distinct_per, identified, in_years, invoice_count, low_rated_count, rated_count, rating_mean,
+    rating_total, summarise, with_calendar)
+from shopstar.operators.product import with_all, yearly_shares
 
 # ISO weekdays 1 to 7.
 WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
@@ -15,19 +17,22 @@ WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
 
 def scorecard(fact: DataFrame, dim_branch: DataFrame, cfg: RetailConfig) -> DataFrame:
     by = ["branch_key"]
+    marked = FIRST_OF[("branch_key",)] in fact.columns
     days = fact.groupBy("branch_key", "sale_date").agg(
         F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("profit"),
-        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rated"))
-    per_branch = (
-        days.groupBy(*by).agg(
-            F.count("*").alias("trading_days"),
-            F.sum("rev").alias("rev"),
-            F.sum("profit").alias("profit"),
-            ratio(F.sum("rating_sum"), F.sum("rated")).alias("rating"))
-        .join(distinct_per(fact, by, "invoice_id", "invoices"), by)
-        .join(distinct_per(fact.filter(identified()), by, "customer_key", "customers"), by, "left")
-        .fillna(0, ["customers"])
-    )
+        rating_total(fact).alias("rating_sum"), rated_count(fact).alias("rated"),
+        *([invoice_count(fact, *by).alias("invoices")] if marked else []))
+    per_branch = days.groupBy(*by).agg(
+        F.count("*").alias("trading_days"),
+        F.sum("rev").alias("rev"),
+        F.sum("profit").alias("profit"),
+        ratio(F.sum("rating_sum"), F.sum("rated")).alias("rating"),
+        *([F.sum("invoices").alias("invoices")] if marked else []))
+    if not marked:
+        per_branch = per_branch.join(distinct_per(fact, by, "invoice_id", "invoices"), by)
+    per_branch = per_branch.join(
+        distinct_per(fact.filter(identified()), by, "customer_key", "customers"), by, "left"
+    ).fillna(0, ["customers"])
     c = F.col
     daily = ratio(c("rev"), c("trading_days"))
     net = c("rev").cast("double") / F.lit(1.0 + float(cfg.tax_rate))
@@ -53,7 +58,7 @@ def region_rollup(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
     """
     per_branch = fact.groupBy("branch_key").agg(
         F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("prof"),
-        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rated"))
+        rating_total(fact).alias("rating_sum"), rated_count(fact).alias("rated"))
     rolled = per_branch.join(dim_branch.select("branch_key", "region", "city"), "branch_key").rollup(
         "region", "city"
     ).agg(
@@ -95,7 +100,7 @@ def hour_weekday_heatmap(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def hourly_service(fact: DataFrame) -> DataFrame:
     hourly = summarise(
         fact, ["sale_hour"],
-        [F.sum("total_amount").alias("rev"), mean(F.col("rating")).alias("rating")],
+        [F.sum("total_amount").alias("rev"), rating_mean(fact).alias("rating")],
         {"invoices": "invoice_id"})
     c = F.col
     return hourly.select(
@@ -117,15 +122,13 @@ def is_peak(cfg: RetailConfig) -> Column:
 
 def peak_service_gap(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
     label = F.when(is_peak(cfg), f"Peak ({cfg.peak_from}-{cfg.peak_to})").otherwise("Off-peak")
-    periods = summarise(
-        fact.withColumn("period", label), ["period"],
-        [
-            F.sum("total_amount").alias("rev"),
-            mean(F.col("rating")).alias("rating"),
-            F.count(F.when(F.col("rating") <= 5, 1)).alias("low"),
-            F.count("rating").alias("rated"),
-        ],
-        {"invoices": "invoice_id", "hours": "sale_hour"})
+    hours = fact.groupBy("sale_hour").agg(
+        F.sum("total_amount").alias("rev"), rating_total(fact).alias("rating_sum"),
+        low_rated_count(fact).alias("low"), rated_count(fact).alias("rated"))
+    periods = hours.groupBy(label.alias("period")).agg(
+        F.sum("rev").alias("rev"), ratio(F.sum("rating_sum"), F.sum("rated")).alias("rating"),
+        F.sum("low").alias("low"), F.sum("rated").alias("rated"), F.count("sale_hour").alias("hours"),
+    ).join(distinct_per(fact.withColumn("period", label), ["period"], "invoice_id", "invoices"), "period")
     c = F.col
     return periods.select(
         "period", "invoices",
@@ -140,14 +143,16 @@ def peak_service_gap(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
 def payment_adoption(fact: DataFrame, dim_date: DataFrame, dim_payment: DataFrame,
                      cfg: RetailConfig) -> DataFrame:
     first, _, last = cfg.share_years
+    names = dim_payment.select("payment_key", "payment_method")
     sums = (
-        with_calendar(fact, dim_date, "year_number")
+        with_calendar(in_years(fact, cfg.share_years), dim_date, "year_number")
         .groupBy(F.col("year_number").alias("yr"), "payment_key")
         .agg(F.sum("total_amount").alias("revenue"))
-        .join(dim_payment.select("payment_key", "payment_method"), "payment_key")
+        .join(names, "payment_key")
     )
+    used = fact.select("payment_key").distinct().join(names, "payment_key").select("payment_method")
     c = F.col
-    return yearly_shares(sums, "payment_method", cfg.share_years).select(
+    return with_all(used, yearly_shares(sums, "payment_method", cfg.share_years), "payment_method").select(
         "payment_method",
         *(rnd(c(f"{y}_share"), 1).alias(f"y{y}") for y in cfg.share_years),
         rnd(c(f"{last}_share") - c(f"{first}_share"), 1).alias("change_pts"),
@@ -157,7 +162,8 @@ def payment_adoption(fact: DataFrame, dim_date: DataFrame, dim_payment: DataFram
 def rank_movement(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame,
                   cfg: RetailConfig) -> DataFrame:
     """Places by revenue per trading day; the daily sums make days countable rows."""
-    daily = fact.groupBy("branch_key", "date_key").agg(F.sum("total_amount").alias("rev"))
+    daily = in_years(fact, cfg.rank_years).groupBy("branch_key", "date_key").agg(
+        F.sum("total_amount").alias("rev"))
     rates = (
         with_calendar(daily, dim_date, "year_number")
         .groupBy(F.col("year_number").alias("yr"), "branch_key")
@@ -171,7 +177,8 @@ def rank_movement(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame,
     )
     first, _, last = cfg.rank_years
     c = F.col
-    return pivoted.join(dim_branch.select("branch_key", "branch_code"), "branch_key").select(
+    traded = with_all(fact.select("branch_key").distinct(), pivoted, "branch_key")
+    return traded.join(dim_branch.select("branch_key", "branch_code"), "branch_key").select(
         "branch_code",
         *(c(f"{y}_place").alias(f"rank_{y}") for y in cfg.rank_years),
         (c(f"{first}_place") - c(f"{last}_place")).alias("places_gained"),

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.ranking import Spool
 from shopstar.functions.scalar import (
-    initcap_words, normalise_payment, parse_iso_date, parse_time, trim_to_null, try_to_numeric)
+    initcap_words, normalise_payment, numeric_text, parse_iso_date, parse_time, trim_to_null, try_to_numeric)
 from shopstar.functions.skew import HotBuckets, find_hot_buckets, key_bucket, salted
-from shopstar.schemas import MONEY_2, MONEY_4, PRICE, RATING, WIDE
+from shopstar.schemas import MARGIN, MONEY_2, MONEY_4, PRICE, RATING, WIDE
 
 LINE_KEY = ["invoice_id", "line_no"]
 
@@ -91,29 +92,59 @@ def is_dirty() -> Column:
 
 
 def oversize() -> Column:
-    """A number in the delivered text that its column cannot hold."""
+    """A number in the delivered text that is too large to be parsed, or a rating that its column cannot hold.
+
+    Only texts that gave no number are looked at again.
+    """
     found = F.lit(False)
     for name in NEEDED_NUMBERS:
-        c = F.col(name)
-        found = found | (try_to_numeric(c, WIDE).isNotNull() & try_to_numeric(c).isNull())
-    rating = trim_to_null(F.col("rating"))
-    return found | (rating.try_cast(WIDE).isNotNull() & rating.try_cast(RATING).isNull())
-
-
-def does_not_fit(cfg: RetailConfig) -> Column:
-    """A stored or computed value of a typed line would overflow its column."""
-    gross = F.col("unit_price") * F.col("quantity")
-    stored = (
-        (F.round("line_no"), "int"), (F.round("quantity"), "int"), (F.round("unit_price", 2), PRICE),
-        (F.round(gross, 2), MONEY_2),
-        (F.round(gross * (F.lit(Decimal(1)) + F.lit(cfg.tax_rate)), 4), MONEY_4),
-        (F.col("gross_margin_pct"), "decimal(9,4)"),
-        (F.round(gross * (F.lit(Decimal(1)) - F.col("gross_margin_pct") * F.lit(Decimal("0.01"))), 2), MONEY_2),
-        (F.round(gross * F.col("gross_margin_pct") * F.lit(Decimal("0.01")), 4), MONEY_4),
-    )
+        raw = F.col(f"_text_{name}")
+        found = found | F.when(
+            F.col(name).isNull() & raw.isNotNull(), numeric_text(raw).try_cast("double").isNotNull()
+        ).otherwise(False)
+    rating = F.col("_text_rating")
+    return found | F.when(
+        F.col("rating").isNull() & rating.isNotNull(), rating.try_cast(WIDE).isNotNull()).otherwise(False)
+
+
+def stored_values(cfg: RetailConfig) -> Column:
+    """What the clean table stores for the numbers of a typed line, NULL where a value does not fit.
+
+    Money is recomputed from price, quantity and margin with all their decimals
+    and rounded once.
+    """
+    c = F.col
+    # Cut to the digits that fit anyway, so that products keep their decimals.
+    gross = c("unit_price").try_cast("decimal(26,18)") * c("quantity").try_cast("decimal(28,18)")
+    margin = c("gross_margin_pct").try_cast(MARGIN) * F.lit(Decimal("0.01"))
+    one, tax = F.lit(Decimal(1)), F.lit(cfg.tax_rate)
+    values = {
+        "line_no": (F.round("line_no"), "int"),
+        "quantity": (F.round("quantity"), "int"),
+        "unit_price": (F.round("unit_price", 2), PRICE),
+        "gross_sales": (F.round(gross, 2), MONEY_2),
+        "tax_amount": (F.round(gross * tax, 4), MONEY_4),
+        "total_amount": (F.round(gross * (one + tax), 4), MONEY_4),
+        "cogs": (F.round(gross * (one - margin), 2), MONEY_2),
+        "gross_profit": (F.round(gross * margin, 4), MONEY_4),
+        "gross_margin_pct": (c("gross_margin_pct"), MARGIN),
+    }
+    return F.struct(*[value.try_cast(kind).alias(name) for name, (value, kind) in values.items()])
+
+
+def does_not_fit() -> Column:
+    """A delivered or computed number of a typed line would overflow its column."""
+    def lost(name: str, *made_of: str) -> Column:
+        there = reduce(Column.__and__, (F.col(m).isNotNull() for m in made_of))
+        return there & F.col(f"stored.{name}").isNull()
+
     found = F.col("is_oversize")
-    for value, kind in stored:
-        found = found | (value.isNotNull() & value.try_cast(kind).isNull())
+    for name in NEEDED_NUMBERS:
+        found = found | lost(name, name)
+    for name in ("gross_sales", "tax_amount", "total_amount"):
+        found = found | lost(name, "stored.unit_price", "stored.quantity")
+    for name in ("cogs", "gross_profit"):
+        found = found | lost(name, "stored.unit_price", "stored.quantity", "stored.gross_margin_pct")
     return found
 
 
@@ -141,8 +172,9 @@ def typed(marked: DataFrame) -> DataFrame:
         F.col("unit_price").alias("source_unit_price"),
         is_dirty().alias("is_dirty"),
         "is_duplicate",
-        oversize().alias("is_oversize"),
-    )
+        *[F.col(c).alias(f"_text_{c}") for c in NEEDED_NUMBERS],
+        trim_to_null(F.col("rating")).alias("_text_rating"),
+    ).withColumn("is_oversize", oversize()).drop(*[f"_text_{c}" for c in (*NEEDED_NUMBERS, "rating")])
 
 
 def classify_reject(cfg: RetailConfig) -> Column:
@@ -152,15 +184,15 @@ def classify_reject(cfg: RetailConfig) -> Column:
         F.when(c("is_duplicate"), "DUPLICATE_LINE")
         .when(c("invoice_id").isNull(), "MISSING_INVOICE_ID")
         # Not in the original list either: such a line would stop the load.
-        .when(does_not_fit(cfg), "VALUE_OUT_OF_RANGE")
+        .when(does_not_fit(), "VALUE_OUT_OF_RANGE")
         .when(c("line_no").isNull(), "MISSING_LINE_NO")
         .when(c("sale_date").isNull(), "INVALID_DATE")
         .when(~c("sale_date").between(F.lit(cfg.window_start), F.lit(cfg.window_end)),
               "DATE_OUT_OF_RANGE")
         .when(c("quantity").isNull(), "INVALID_QUANTITY")
-        .when(F.round("quantity") <= 0, "NON_POSITIVE_QUANTITY")
+        .when(c("stored.quantity") <= 0, "NON_POSITIVE_QUANTITY")
         .when(c("unit_price").isNull(), "INVALID_UNIT_PRICE")
-        .when(F.round("unit_price", 2) <= 0, "NON_POSITIVE_UNIT_PRICE")
+        .when(c("stored.unit_price") <= 0, "NON_POSITIVE_UNIT_PRICE")
         .when(c("sale_time").isNull(), "INVALID_TIME")
         # Not in the original list: without a margin, cost and profit are unknown.
         .when(c("gross_margin_pct").isNull(), "INVALID_MARGIN")
@@ -169,13 +201,14 @@ def classify_reject(cfg: RetailConfig) -> Column:
 
 def normalise(landed: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     marked = dedupe_lines(landed, cfg, spool)
-    return typed(marked).withColumn("reject_reason", classify_reject(cfg))
+    return typed(marked).withColumn("stored", stored_values(cfg)).withColumn(
+        "reject_reason", classify_reject(cfg))
 
 
 def quarantine(normalised: DataFrame) -> DataFrame:
     return normalised.filter(F.col("reject_reason").isNotNull()).select(
         "invoice_id",
-        F.round("line_no").try_cast("int").alias("line_no"),
+        F.col("stored.line_no").alias("line_no"),
         "branch_code",
         "reject_reason",
         "source_date",
@@ -185,27 +218,19 @@ def quarantine(normalised: DataFrame) -> DataFrame:
     )
 
 
-def clean_sales(normalised: DataFrame, cfg: RetailConfig) -> DataFrame:
-    """Good lines; money is recomputed from price, quantity and margin."""
-    gross = F.col("unit_price") * F.col("quantity")
-    margin = F.col("gross_margin_pct").cast("decimal(9,4)") * F.lit(Decimal("0.01"))
-    tax = F.lit(cfg.tax_rate)
+def clean_sales(normalised: DataFrame) -> DataFrame:
+    """Good lines with their stored values; money is recomputed, not taken from the file."""
+    stored = lambda *names: [F.col(f"stored.{n}").alias(n) for n in names]
     return normalised.filter(F.col("reject_reason").isNull()).select(
         "invoice_id",
-        F.round("line_no").cast("int").alias("line_no"),
+        *stored("line_no"),
         "branch_code", "city", "customer_id", "customer_type", "customer_type_was_repaired",
         "gender", "product_sku", "product_line", "product_name",
         "sale_date", "sale_time",
         F.substring("sale_time", 1, 2).cast("int").alias("sale_hour"),
         "payment_method",
-        F.round("quantity").cast("int").alias("quantity"),
-        F.round("unit_price", 2).cast(PRICE).alias("unit_price"),
-        F.round(gross, 2).cast(MONEY_2).alias("gross_sales"),
-        F.round(gross * tax, 4).cast(MONEY_4).alias("tax_amount"),
-        F.round(gross * (F.lit(Decimal(1)) + tax), 4).cast(MONEY_4).alias("total_amount"),
-        F.round(gross * (F.lit(Decimal(1)) - margin), 2).cast(MONEY_2).alias("cogs"),
-        F.round(gross * margin, 4).cast(MONEY_4).alias("gross_profit"),
-        F.col("gross_margin_pct").cast("decimal(9,4)").alias("gross_margin_pct"),
+        *stored("quantity", "unit_price", "gross_sales", "tax_amount", "total_amount", "cogs",
+                "gross_profit", "gross_margin_pct"),
         "rating",
     )
 

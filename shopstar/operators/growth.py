@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from shopstar.config import RetailConfig
 from shopstar.functions.scalar import all_rows, dbl, growth_pct, mean, money, pct, ratio, rnd
-from shopstar.operators.common import how_many, identified, summarise, with_calendar
+from shopstar.operators.common import (
+    FIRST_OF, how_many, identified, invoice_count, line_count, rated_count, rating_total,
+    sale_year, summarise, with_calendar)
 
 
 
@@ -16,21 +18,35 @@ def daily_revenue(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFr
     return with_calendar(days, dim_date, "full_date", *columns)
 
 
-def exec_summary(fact: DataFrame) -> DataFrame:
+def exec_summary(fact: DataFrame, dim_customer: DataFrame | None = None) -> DataFrame:
+    """Key figures of all sales; customers who bought are those with a first purchase."""
     c = F.col
-    sums = fact.agg(
-        F.count("*").alias("line_items"),
+    per_branch = fact.groupBy("branch_key").agg(
+        line_count(fact).alias("line_items"),
         F.min("sale_date").alias("first_sale"),
         F.max("sale_date").alias("last_sale"),
         F.sum("total_amount").alias("rev"),
         F.sum("gross_profit").alias("profit"),
         F.sum("gross_sales").alias("gross"),
-        mean(c("rating")).alias("rating"),
-    ).withColumn("invoices", how_many(fact, "invoice_id"))
+        rating_total(fact).alias("rating_sum"),
+        rated_count(fact).alias("rated"),
+        *([invoice_count(fact).alias("invoices")] if FIRST_OF[()] in fact.columns else []),
+    )
+    none = F.lit(0).cast("bigint")
+    sums = per_branch.agg(
+        *[F.coalesce(F.sum(x), none).alias(x) for x in ("line_items", "invoices") if x in per_branch.columns],
+        F.min("first_sale").alias("first_sale"), F.max("last_sale").alias("last_sale"),
+        *[F.sum(x).alias(x) for x in ("rev", "profit", "gross")],
+        ratio(F.sum("rating_sum"), F.sum("rated")).alias("rating"),
+        F.count("branch_key").alias("branches"))
+    if "invoices" not in sums.columns:
+        sums = sums.withColumn("invoices", how_many(fact, "invoice_id"))
+    known = how_many(fact.filter(identified()), "customer_key") if dim_customer is None else (
+        dim_customer.filter(identified() & c("first_purchase_date").isNotNull()).agg(F.count("*")).scalar())
     return sums.select(
         "line_items", "invoices",
-        how_many(fact.filter(identified()), "customer_key").alias("identified_customers"),
-        how_many(fact, "branch_key").alias("branches"),
+        known.alias("identified_customers"),
+        "branches",
         "first_sale", "last_sale",
         money(c("rev")).alias("total_revenue"),
         money(c("profit")).alias("gross_profit"),
@@ -46,12 +62,12 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     The earlier months are found by their distance in months and not by their
     position, so a month without sales gives NULL instead of a wrong partner.
     """
-    sales = with_calendar(fact, dim_date, "year_month", "month_start_date").withColumnRenamed(
-        "month_start_date", "month_start")
+    months = dim_date.select(
+        F.col("month_start_date").alias("sale_month"), "year_month").distinct()
     monthly = summarise(
-        sales, ["year_month", "month_start"], [F.sum("total_amount").alias("revenue")],
-        {"invoices": "invoice_id"},
-    ).withColumn("month_no", F.year("month_start") * 12 + F.month("month_start"))
+        fact, ["sale_month"], [F.sum("total_amount").alias("revenue")], {"invoices": "invoice_id"},
+    ).join(months, "sale_month").withColumnRenamed("sale_month", "month_start").withColumn(
+        "month_no", F.year("month_start") * 12 + F.month("month_start"))
     by_month = W.orderBy("month_no")
 
     def ago(n: int):
@@ -72,11 +88,15 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def annual_cagr(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    sales = with_calendar(fact, dim_date, "year_number").withColumnRenamed("year_number", "yr")
-    yearly = summarise(
-        sales, ["yr"],
-        [F.sum("total_amount").alias("revenue"), F.sum("gross_profit").alias("profit")],
-        {"invoices": "invoice_id", "branches_trading": "branch_key"})
+    sales = fact.withColumn("sale_year", sale_year())
+    per_branch = sales.groupBy("sale_year", "branch_key").agg(
+        F.sum("total_amount").alias("revenue"), F.sum("gross_profit").alias("profit"))
+    yearly = per_branch.groupBy("sale_year").agg(
+        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
+        F.count("branch_key").alias("branches_trading"),
+    ).join(sales.groupBy("sale_year").agg(invoice_count(sales, "sale_year").alias("invoices")), "sale_year")
+    years = dim_date.select(F.col("year_number").alias("sale_year")).distinct()
+    yearly = yearly.join(years, "sale_year").withColumnRenamed("sale_year", "yr")
     by_year = W.orderBy("yr")
     grown = yearly.withColumns({
         "prev": F.lag("revenue").over(by_year),

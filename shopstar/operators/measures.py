@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shopstar.functions.ranking import running_totals
 from shopstar.functions.scalar import all_rows, date_number, dbl, growth_pct, mean, pct, ratio, rnd
 from shopstar.functions.skew import is_small, lookup
+from shopstar.operators.aggregates import INVOICE_GRAIN, sales
 from shopstar.operators.branch import is_peak
-from shopstar.operators.common import identified
+from shopstar.operators.common import (
+    FIRST_OF, identified, invoice_count, line_count, low_rated_count, rated_count)
 
 # Which dimension a report column comes from, and its key in the fact.
 DIMENSIONS = {
@@ -57,21 +59,31 @@ def _at_risk() -> Column:
     return F.col("rfm_segment").isin("At Risk", "Hibernating") & (F.col("m_score") >= 4)
 
 
-def base_measures(cfg) -> dict[str, Column]:
-    """Measures that are one aggregate expression over sales rows."""
+def base_measures(cfg, frame: DataFrame, counted_by: tuple[str, ...] | None = None) -> dict[str, Column]:
+    """Measures that are one aggregate expression over the rows of `frame`.
+
+    These are sales lines, or rows of the invoice table. `counted_by` names the
+    columns that the invoices are counted by, if the table has marks for them.
+    """
     total = F.sum(_rev)
-    invoices = F.countDistinct("invoice_id")
-    rating = F.col("rating")
+    invoices = F.countDistinct("invoice_id") if counted_by is None else invoice_count(frame, *counted_by)
     peak = is_peak(cfg)
+
+    def rating(cond: Column | None = None) -> Column:
+        part = lambda c: F.col(c) if cond is None else F.when(cond, F.col(c))
+        if "rated" in frame.columns:
+            return ratio(F.sum(part("rating_sum")), F.sum(part("rated")))
+        return mean(part("rating"))
+
     return {
         "total_revenue": dbl(total),
         "gross_profit": dbl(F.sum("gross_profit")),
         "gross_margin_pct": pct(F.sum("gross_profit"), F.sum("gross_sales"), 2),
         "invoices": invoices,
-        "line_items": F.count("*"),
+        "line_items": line_count(frame),
         "units_sold": F.sum("quantity"),
         "avg_basket_value": rnd(ratio(total, invoices), 2),
-        "avg_rating": rnd(mean(rating), 3),
+        "avg_rating": rnd(rating(), 3),
         "active_customers": F.countDistinct(F.when(identified(), F.col("customer_key"))),
         "champions_revenue": dbl(F.coalesce(
             _amount_if(F.col("rfm_segment") == "Champions"), F.lit(0))),
@@ -79,14 +91,40 @@ def base_measures(cfg) -> dict[str, Column]:
         "revenue_at_risk": dbl(F.coalesce(_amount_if(_at_risk()), F.lit(0))),
         "peak_hour_revenue": dbl(_amount_if(peak)),
         "peak_hour_revenue_pct": pct(_amount_if(peak), total, 2),
-        "peak_hour_rating": rnd(mean(F.when(peak, rating)), 3),
-        "off_peak_rating": rnd(mean(F.when(~peak, rating)), 3),
-        "rating_gap": rnd(mean(F.when(~peak, rating)) - mean(F.when(peak, rating)), 3),
-        "detractor_pct": pct(_count_if(rating <= 5), F.count(rating), 2),
+        "peak_hour_rating": rnd(rating(peak), 3),
+        "off_peak_rating": rnd(rating(~peak), 3),
+        "rating_gap": rnd(rating(~peak) - rating(peak), 3),
+        "detractor_pct": pct(low_rated_count(frame), rated_count(frame), 2),
         "revenue_per_trading_day": rnd(ratio(total, F.countDistinct("sale_date")), 2),
     }
 
 
+MEASURES = (
+    "total_revenue", "gross_profit", "gross_margin_pct", "invoices", "line_items", "units_sold",
+    "avg_basket_value", "avg_rating", "active_customers", "champions_revenue", "champions_pct",
+    "revenue_at_risk", "peak_hour_revenue", "peak_hour_revenue_pct", "peak_hour_rating",
+    "off_peak_rating", "rating_gap", "detractor_pct", "revenue_per_trading_day")
+
+# Report columns of which each value stands for one value of a column that invoices are marked by.
+_MARKED_BY = {
+    "year_number": "sale_year", "year_month": "sale_month", "month_start_date": "sale_month",
+    "branch_code": "branch_key", "sale_hour": "sale_hour"}
+
+# What a measure counts distinct values of. Two of these in one aggregate would
+# repeat every row, so they are evaluated apart.
+_DISTINCT = {
+    "invoices": "invoice_id", "avg_basket_value": "invoice_id", "active_customers": "customer_key",
+    "revenue_per_trading_day": "sale_date"}
+
+
+def marked_by(columns: set[str]) -> tuple[str, ...] | None:
+    """The columns that invoices are counted by in this context, if the invoice table marks them."""
+    if not columns <= set(_MARKED_BY):
+        return None
+    keys = {_MARKED_BY[c] for c in columns}
+    return next((by for by in FIRST_OF if set(by) == keys), None)
+
+
 # Customer columns that single measures need beyond grouping and slicers.
 _NEEDS = {
     "champions_revenue": ("rfm_segment",),
@@ -113,7 +151,10 @@ def sales_frame(wh, columns: set[str], months_ahead: int = 0, per_customer: bool
     sums the additive columns per customer, `keys` and other dimension keys
     first: one row of those meets the customer-sized table, not every line.
     """
-    frame = wh.fact_sales
+    # The invoice table does unless products, payments or other columns of a line are asked for.
+    apart = columns - REPORT | columns & {*DIMENSIONS["dim_product"][1], *DIMENSIONS["dim_payment"][1]}
+    stored_sales = wh.fact_invoices if apart <= set(INVOICE_GRAIN) else wh.fact_sales
+    frame = stored_sales.withColumn("_at", F.xxhash64("invoice_id"))
     if months_ahead:
         later = date_number(F.add_months("sale_date", months_ahead))
         frame = frame.withColumn("date_key", later)
@@ -135,8 +176,8 @@ def sales_frame(wh, columns: set[str], months_ahead: int = 0, per_customer: bool
             frame = frame.join(
                 F.broadcast(stored.select(key, month, *wanted)), [key, "sale_month"])
         else:
-            frame = lookup(frame, stored.select(key, *wanted), [key], wh.cfg, "sale_id", how,
-                           wh.fact_sales, stored)
+            frame = lookup(frame, stored.select(key, *wanted), [key], wh.cfg, "_at", how,
+                           stored_sales, stored)
     return frame
 
 
@@ -177,7 +218,7 @@ def measures(wh, names: Sequence[str], by: Sequence[str] = (),
     """
     filters, by = dict(filters or {}), list(by)
     context = {*by, *filters}
-    known = {*base_measures(wh.cfg), *LAST_YEAR, *PERIODS, *CUSTOMER, "new_customers"}
+    known = {*MEASURES, *LAST_YEAR, *PERIODS, *CUSTOMER, "new_customers"}
     if unknown := set(names) - known:
         raise KeyError(f"no such measure: {sorted(unknown)}")
     if unknown := context - REPORT - set(wh.fact_sales.columns):
@@ -211,20 +252,26 @@ def measures(wh, names: Sequence[str], by: Sequence[str] = (),
 
 def _sales(wh, names: Sequence[str], by: Sequence[str], filters: Mapping[str, object]) -> DataFrame:
     """Measures that are one aggregate over sales, and against last year; adds `_rev`."""
-    base = base_measures(wh.cfg)
     yearly = [n for n in names if n in LAST_YEAR]
-    plain = [n for n in names if n in base]
+    plain = [n for n in names if n in MEASURES]
     columns = {*by, *filters, *(c for n in plain for c in _NEEDS.get(n, ()))}
     folded = _sums_suffice(names, columns)
 
-    def sums(months_ahead: int, extra: list[Column]) -> DataFrame:
-        frame = sales_frame(wh, columns, months_ahead, folded)
-        return _sliced(frame, filters).groupBy(*by).agg(*extra)
+    def sums(months_ahead: int, chosen: Sequence[str], extra: Sequence[Column]) -> DataFrame:
+        frame = _sliced(sales_frame(wh, columns, months_ahead, folded), filters)
+        by_marks = marked_by(columns) if "lines" in frame.columns else None
+        base = base_measures(wh.cfg, frame, by_marks)
+        return frame.groupBy(*by).agg(*[base[n].alias(n) for n in chosen], *extra)
 
+    uncounted = marked_by(columns) is not None and not folded
+    kinds = {n: _DISTINCT[n] for n in plain if n in _DISTINCT and not (uncounted and _DISTINCT[n] == "invoice_id")}
+    first, *others = sorted(set(kinds.values())) or [None]
     now = [F.sum(_rev).alias("_rev"), *([F.sum("gross_profit").alias("_profit")] if yearly else [])]
-    out = sums(0, [*(base[n].alias(n) for n in plain), *now])
+    out = sums(0, [n for n in plain if kinds.get(n, first) == first], now)
+    for kind in others:
+        out = _beside(out, sums(0, [n for n in plain if kinds.get(n) == kind], []), by)
     if yearly:
-        before = sums(12, [
+        before = sums(12, [], [
             F.sum(_rev).alias("_rev_ly"), F.sum("gross_profit").alias("_profit_ly")])
         out = _beside(out, before, by).withColumns({n: LAST_YEAR[n]() for n in yearly})
     return out.select(*by, *names, "_rev")
@@ -238,7 +285,7 @@ LAST_YEAR: dict[str, Callable[[], Column]] = {
 
 
 def total_revenue_unsliced(wh) -> Column:
-    return wh.fact_sales.agg(F.sum(_rev)).scalar()
+    return sales(wh).agg(F.sum(_rev)).scalar()
 
 
 def revenue_share(wh) -> Column:
@@ -284,7 +331,7 @@ def time_measures(wh) -> DataFrame:
     months whose last three or twelve months hold it, thirteen at the most.
     """
     c = F.col
-    days = wh.fact_sales.groupBy("date_key").agg(
+    days = sales(wh).groupBy("date_key").agg(
         F.sum(_rev).alias("rev"), F.sum("gross_profit").alias("profit"))
     days = days.join(F.broadcast(wh.dim_date.select(
         "date_key", "full_date", "month_start_date")), "date_key")

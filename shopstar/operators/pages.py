@@ -118,7 +118,7 @@ def customer_activity(wh) -> DataFrame:
 
 
 def customer_acquisition(wh) -> DataFrame:
-    returning = customer.new_vs_returning(wh.fact_sales, wh.dim_customer, wh.cfg).select(
+    returning = customer.new_vs_returning(wh.fact_invoices, wh.dim_customer, wh.cfg).select(
         F.col("yr").alias("year_number"), "returning_revenue")
     return new_customers(wh).join(returning, "year_number", "full").orderBy("year_number")
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shopstar.config import RetailConfig
 from shopstar.functions.ranking import Spool, running_totals
 from shopstar.functions.scalar import all_rows, dbl, mean, money, pct, ratio, rnd
-from shopstar.operators.common import with_calendar
+from shopstar.operators.common import in_years, line_count, rated_count, rating_total, with_calendar
 from shopstar.operators.semantic import pair_measures
 
 
@@ -19,10 +19,10 @@ def by_product(fact: DataFrame, *sums: Column) -> DataFrame:
 def line_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     per_product = by_product(
         fact,
-        F.count("*").alias("items"), F.sum("quantity").alias("units"),
+        line_count(fact).alias("items"), F.sum("quantity").alias("units"),
         F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("profit"),
         F.sum("gross_sales").alias("gross"),
-        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rated"))
+        rating_total(fact).alias("rating_sum"), rated_count(fact).alias("rated"))
     lines = per_product.join(
         dim_product.select("product_key", "product_line"), "product_key"
     ).groupBy("product_line").agg(
@@ -86,6 +86,12 @@ def abc_summary(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
     ).orderBy("abc_class")
 
 
+def with_all(items: DataFrame, figures: DataFrame, item: str) -> DataFrame:
+    """Every item, also one that has no figures; a NULL item meets a NULL one."""
+    named = figures.withColumnRenamed(item, "_item")
+    return items.join(named, items[item].eqNullSafe(named["_item"]), "left").drop("_item")
+
+
 def yearly_shares(sums: DataFrame, item: str, years: tuple[int, ...]) -> DataFrame:
     """Share of `item` within each year, one column per chosen year.
 
@@ -102,16 +108,19 @@ def yearly_shares(sums: DataFrame, item: str, years: tuple[int, ...]) -> DataFra
 
 def mix_shift(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
               cfg: RetailConfig) -> DataFrame:
+    """Shares of three years, of which only the sales are read; all lines ever sold are shown."""
     first, _, last = cfg.share_years
+    names = dim_product.select("product_key", "product_line")
     sums = (
-        with_calendar(fact, dim_date, "year_number")
+        with_calendar(in_years(fact, cfg.share_years), dim_date, "year_number")
         .groupBy("year_number", "product_key").agg(F.sum("total_amount").alias("revenue"))
-        .join(dim_product.select("product_key", "product_line"), "product_key")
+        .join(names, "product_key")
         .groupBy(F.col("year_number").alias("yr"), "product_line")
         .agg(F.sum("revenue").alias("revenue"))
     )
+    sold = fact.select("product_key").distinct().join(names, "product_key").select("product_line").distinct()
     c = F.col
-    return yearly_shares(sums, "product_line", cfg.share_years).select(
+    return with_all(sold, yearly_shares(sums, "product_line", cfg.share_years), "product_line").select(
         "product_line",
         *(rnd(c(f"{y}_share"), 1).alias(f"share_{y}") for y in cfg.share_years),
         rnd(c(f"{last}_share") - c(f"{first}_share"), 1).alias("share_change_pts"),
@@ -136,24 +145,16 @@ def top_affinities(pairs: DataFrame, dim_product: DataFrame, cfg: RetailConfig)
         cfg.top_pairs)
 
 
-def cross_category(pairs: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
-    def line(s: str) -> DataFrame:
-        return dim_product.select(
-            F.col("product_key").alias(f"key_{s}"), F.col("product_line").alias(f"of_{s}"))
-
+def cross_category(line_pairs: DataFrame, cfg: RetailConfig) -> DataFrame:
+    """The pairs of lines whose products are bought together most."""
     return (
-        pairs.filter(F.col("key_a") < F.col("key_b"))
-        .join(line("a"), "key_a").join(line("b"), "key_b")
-        .filter(F.col("of_a") != F.col("of_b"))
-        .groupBy(F.least("of_a", "of_b").alias("line_a"), F.greatest("of_a", "of_b").alias("line_b"))
-        .agg(F.sum("n").alias("baskets_together"))
-        .orderBy(F.desc("baskets_together"), "line_a", "line_b").limit(cfg.top_line_pairs)
-    )
+        line_pairs.select("line_a", "line_b", F.col("n").alias("baskets_together"))
+        .orderBy(F.desc("baskets_together"), "line_a", "line_b").limit(cfg.top_line_pairs))
 
 
 def basket_size(fact: DataFrame) -> DataFrame:
     baskets = fact.groupBy("invoice_id").agg(
-        F.count("*").alias("lines_in_basket"),
+        line_count(fact).alias("lines_in_basket"),
         F.sum("total_amount").alias("value"),
         F.sum("gross_profit").alias("profit"),
     )

@@ -10,7 +10,7 @@ from typing import TYPE_CHECKING, NamedTuple
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shopstar.functions.scalar import all_rows, initcap_words, pct
-from shopstar.functions.skew import lookup
+from shopstar.operators.aggregates import sales
 from shopstar.operators.clean import PAYMENT_METHODS
 from shopstar.operators.dims import UNKNOWN_KEY
 
@@ -75,16 +75,41 @@ def duplicate_grain(wh: "Warehouse") -> DataFrame:
 
 
 def orphans(wh: "Warehouse") -> DataFrame:
-    """Fact rows with a key that some dimension lacks."""
+    """Fact rows with a key that some dimension lacks.
+
+    The keys in use meet the dimensions, one row per key. Only keys that miss are
+    looked up among the sales; a sound load has none, and adaptive execution then
+    leaves those joins out.
+    """
     keys = {
         "date_key": wh.dim_date, "branch_key": wh.dim_branch, "product_key": wh.dim_product,
         "customer_key": wh.dim_customer, "payment_key": wh.dim_payment,
     }
-    rows = wh.fact_sales.select("sale_id", *keys)
+    rows = wh.fact_sales.select(*keys)
     for key, dim in keys.items():
-        known = dim.select(key, F.lit(True).alias(f"has_{key}"))
-        rows = lookup(rows, known, [key], wh.cfg, "sale_id", "left", wh.fact_sales, dim)
-    return rows.filter(reduce(Column.__or__, (F.col(f"has_{k}").isNull() for k in keys)))
+        used = wh.fact_sales.groupBy(key).agg(F.count("*").alias("_lines"))
+        lost = used.join(dim.select(key), key, "left_anti").select(key, F.lit(True).alias(f"lost_{key}"))
+        rows = rows.join(lost, key, "left")
+    return rows.filter(reduce(Column.__or__, (F.col(f"lost_{k}").isNotNull() for k in keys)))
+
+
+# How many payment texts outside the vocabulary a report names.
+NAMED_OFFENDERS = 20
+
+
+def unknown_payments(wh: "Warehouse") -> DataFrame:
+    """The payment texts outside the vocabulary with most sales, and how many there are in all."""
+    strange = wh.dim_payment.filter(~F.col("payment_method").isin(*PAYMENT_METHODS, "Unknown"))
+    used = sales(wh, "payment_key").groupBy("payment_key").agg(F.sum("lines").alias("_lines"))
+    return (
+        strange.join(used, "payment_key", "left")
+        .orderBy(F.desc_nulls_last("_lines"), "payment_method").limit(NAMED_OFFENDERS)
+        .withColumn("_every", strange.agg(F.count("*")).scalar()))
+
+
+def _named(c: "Counter") -> Column:
+    more = F.when(c("more") > 0, F.concat(F.lit(" and "), c("more").cast("string"), F.lit(" more")))
+    return F.coalesce(F.concat(c("offenders"), F.coalesce(more, F.lit(""))), F.lit("none"))
 
 
 def missing_days(wh: "Warehouse") -> DataFrame:
@@ -176,11 +201,12 @@ CHECKS = (
           _zero, _text()),
     Check(12, "dq_payment_vocabulary", "validity", "payment methods in controlled vocabulary",
           "only Cash/Credit card/Ewallet",
-          lambda wh: wh.dim_payment.filter(
-              ~F.col("payment_method").isin(*PAYMENT_METHODS, "Unknown")),
-          lambda wh: {"n": F.count("*"), "offenders": F.expr(
-              "listagg(payment_method, ', ') within group (order by payment_method)")},
-          _zero, lambda c: F.coalesce(c("offenders"), F.lit("none"))),
+          unknown_payments,
+          lambda wh: {"n": F.coalesce(F.max("_every"), F.lit(0).cast("bigint")),
+                      "more": F.coalesce(F.max("_every"), F.lit(0).cast("bigint")) - F.count("*"),
+                      "offenders": F.expr(
+                          "listagg(payment_method, ', ') within group (order by payment_method)")},
+          _zero, _named),
     Check(13, "dq_gross_consistent", "consistency", "gross_sales = unit_price * quantity",
           "0 mismatches", fact_rows,
           _violations(lambda wh: _far(

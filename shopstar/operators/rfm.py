@@ -37,13 +37,16 @@ def rfm_base(fact: DataFrame) -> DataFrame:
 def rfm_score(base: DataFrame, spool: Spool) -> DataFrame:
     """Quintiles of all three metrics from one range sort; customer_key settles ties.
 
-    A shorter recency earns the higher score, hence the minus sign.
+    A shorter recency earns the higher score, hence the minus sign. The place by
+    spend, best first, comes from the same sort and is kept as monetary_rank, so
+    that shares of the best customers need no sort of their own.
     """
     wide = "decimal(38,4)"
     values = (
         (-F.col("recency_days")).cast(wide),
         F.col("frequency").cast(wide),
         F.col("monetary").cast(wide),
+        (-F.col("monetary")).cast(wide),
     )
     metric = F.explode(F.array(*(
         F.struct(F.lit(i).alias("metric"), v.alias("value")) for i, v in enumerate(values))))
@@ -52,9 +55,10 @@ def rfm_score(base: DataFrame, spool: Spool) -> DataFrame:
         range_sorted(long, F.asc("metric"), F.asc("value"), F.asc("customer_key")), "rfm_ranks")
     scored = number_rows(stored, "rank", ["metric"]).withColumn(
         "score", tile(F.col("rank"), F.col("_total"), SCORES))
-    return scored.groupBy("customer_key").agg(*(
-        F.max(F.when(F.col("metric") == i, F.col("score"))).alias(name)
-        for i, name in enumerate(METRICS)))
+    return scored.groupBy("customer_key").agg(
+        *(F.max(F.when(F.col("metric") == i, F.col("score"))).alias(name)
+          for i, name in enumerate(METRICS)),
+        F.max(F.when(F.col("metric") == len(METRICS), F.col("rank"))).alias("monetary_rank"))
 
 
 def rfm_segment(base: DataFrame, scores: DataFrame) -> DataFrame:
@@ -74,8 +78,9 @@ def rfm_segment(base: DataFrame, scores: DataFrame) -> DataFrame:
         .when(r == 1, "Lost")
         .otherwise("Others")
     )
+    kept = [c for c in scores.columns if c not in ("customer_key", *METRICS)]
     return base.join(scores, "customer_key").select(
-        *base.columns, *METRICS, fm.alias("fm_score"), segment.alias("rfm_segment"))
+        *base.columns, *METRICS, fm.alias("fm_score"), segment.alias("rfm_segment"), *kept)
 
 
 def dim_customer_rfm(rfm: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.ranking import Spool
-from shopstar.functions.scalar import dbl, mean, pct, rnd
-from shopstar.functions.skew import row_count
-from shopstar.operators.common import distinct_per, identified, summarise
-from shopstar.operators.dims import UNKNOWN_KEY
+from shopstar.functions.scalar import dbl, pct, rnd
+from shopstar.operators.baskets import ALL_BASKETS, pair_counts
+from shopstar.operators.common import (
+    distinct_per, identified, line_count, rating_mean, summarise)
+
+__all__ = ["ALL_BASKETS", "pair_counts"]
 
 
 def months_between(later: Column, earlier: Column) -> Column:
@@ -53,79 +54,6 @@ def cohort_retention_long(counts: DataFrame, cfg: RetailConfig) -> DataFrame:
     )
 
 
-# Keys of pair_counts: the row (ALL, ALL) counts baskets, (a, a) baskets with a,
-# and (a, b) with a < b baskets with both.
-ALL_BASKETS = -2
-_BITS = 64
-
-
-def _bits(mask: Column, block: Column, width: int) -> Column:
-    """Product slots whose bit is set in a mask, as slot numbers of the catalogue."""
-    slots = F.filter(
-        F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.getbit(mask, i) == 1)
-    return F.transform(slots, lambda i: i + block * width)
-
-
-def _shape_pairs(shapes: DataFrame, width: int) -> DataFrame:
-    """(a, b) with a <= b of every mask, weighted by the baskets that have it."""
-    items = shapes.select("n", _bits(F.col("mask"), F.col("block"), width).alias("items"))
-    later = F.slice("items", F.col("i") + 1, F.size("items") - F.col("i"))
-    return items.select("n", "items", F.posexplode("items").alias("i", "a")).select(
-        "n", "a", F.explode(later).alias("b"))
-
-
-def _pairs_across(masks: DataFrame, width: int) -> DataFrame:
-    """Pairs of products that lie in different blocks of the catalogue."""
-    def side(s: str) -> DataFrame:
-        return masks.select(
-            "invoice_id", F.col("block").alias(f"block_{s}"), F.col("mask").alias(f"mask_{s}"))
-
-    both = side("a").join(side("b"), "invoice_id").filter(F.col("block_a") < F.col("block_b"))
-    shapes = both.groupBy("block_a", "mask_a", "block_b", "mask_b").agg(F.count("*").alias("n"))
-    return shapes.select(
-        "n", "block_b", "mask_b",
-        F.explode(_bits(F.col("mask_a"), F.col("block_a"), width)).alias("a"),
-    ).select("n", "a", F.explode(_bits(F.col("mask_b"), F.col("block_b"), width)).alias("b"))
-
-
-def pair_counts(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
-                spool: Spool) -> DataFrame:
-    """How many baskets hold each product, and each pair of products.
-
-    A basket is folded into bit masks, one per block of the catalogue, in one
-    shuffle with map-side combine; however many lines an invoice has, it is a
-    few numbers. Equal masks are then counted, and pairs are formed once per
-    distinct mask and not per invoice. A catalogue of more than one block joins
-    the masks of an invoice to count pairs across blocks.
-    """
-    width = min(cfg.basket_block, _BITS)
-    # Dense keys -1, 1..N become slots 0, 1..N.
-    slot = F.greatest(F.col("product_key"), F.lit(0))
-    bit = F.expr(f"shiftleft(1L, cast(greatest(product_key, 0) % {width} as int))")
-    masks = fact.groupBy("invoice_id", F.floor(slot / width).cast("int").alias("block")).agg(
-        F.bit_or(bit).alias("mask"))
-    one_block = row_count(dim_product) <= width
-    if not one_block:
-        masks = spool(masks, "basket_masks")
-    shapes = spool(
-        masks.groupBy("block", "mask").agg(F.count("*").alias("n")), "basket_shapes")
-    pairs = _shape_pairs(shapes, width)
-    if one_block:
-        total = shapes
-    else:
-        pairs = pairs.unionByName(_pairs_across(masks, width))
-        total = masks.select("invoice_id").distinct().agg(F.count("*").alias("n"))
-
-    def key(c: str) -> Column:
-        return F.when(F.col(c) == 0, UNKNOWN_KEY).otherwise(F.col(c)).cast("int")
-
-    counted = pairs.groupBy(key("a").alias("key_a"), key("b").alias("key_b")).agg(
-        F.sum("n").alias("n"))
-    every = total.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit(ALL_BASKETS).alias("key_a"), F.lit(ALL_BASKETS).alias("key_b"), "n")
-    return counted.unionByName(every)
-
-
 def pair_measures(pairs: DataFrame, dim_product: DataFrame, min_baskets: int) -> DataFrame:
     """Support, confidence and lift of the pairs with enough baskets."""
     total = pairs.filter(F.col("key_a") == ALL_BASKETS).select("n").scalar()
@@ -171,12 +99,12 @@ def kpi_monthly(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame) ->
     by = ["sale_month", "branch_key"]
     customers = distinct_per(fact.filter(identified()), by, "customer_key", "active_customers")
     sums = [
-        F.count("*").alias("line_items"),
+        line_count(fact).alias("line_items"),
         F.sum("quantity").alias("units"),
         dbl(F.sum("total_amount")).alias("revenue"),
         dbl(F.sum("gross_sales")).alias("gross_sales"),
         dbl(F.sum("gross_profit")).alias("gross_profit"),
-        rnd(mean(F.col("rating")), 4).alias("avg_rating"),
+        rnd(rating_mean(fact), 4).alias("avg_rating"),
     ]
     return (
         summarise(fact, by, sums, {"invoices": "invoice_id"})

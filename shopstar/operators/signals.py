@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.ranking import Spool, global_row_number
 from shopstar.functions.scalar import dbl, mean, ratio, rnd
+from shopstar.operators.aggregates import sales
+from shopstar.operators.baskets import product_bits
 from shopstar.operators.branch import is_peak
+from shopstar.operators.common import invoice_count, line_count, rating_mean
 from shopstar.sources.store import date_range
 
 # The bounds a signal has to reach.
@@ -150,21 +152,18 @@ def repeat_rate(rfm_base: DataFrame) -> DataFrame:
                    "repeat-purchase rate", rate, rate > MIN_REPEAT_RATE)
 
 
-def top20_share(rfm_base: DataFrame, spool: Spool) -> DataFrame:
-    """Part of all spend by the best fifth; the fifth is cut by the exact global rank."""
-    ranked = global_row_number(
-        rfm_base.select("customer_key", "monetary"),
-        [F.desc("monetary"), F.asc("customer_key")], "place", spool)
-    cut = F.floor(dbl(rfm_base.agg(F.count("*")).scalar()) * F.lit(TOP_PART))
+def top20_share(rfm: DataFrame) -> DataFrame:
+    """Part of all spend by the best fifth; the fifth is cut by the place by spend that the table keeps."""
+    cut = F.floor(dbl(rfm.agg(F.count("*")).scalar()) * F.lit(TOP_PART))
     spend = F.col("monetary")
-    share = ranked.withColumn("best", F.col("place") <= cut).agg(
+    share = rfm.withColumn("best", F.col("monetary_rank") <= cut).agg(
         ratio(F.sum(F.when(F.col("best"), spend)), F.sum(spend)).alias("share"))
     s = F.col("share")
     return _signal(share, "spend concentration", s, s > MIN_TOP_SHARE)
 
 
 def peak_rating_penalty(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
-    hours = fact.groupBy("sale_hour").agg(mean(F.col("rating")).alias("rating"))
+    hours = fact.groupBy("sale_hour").agg(rating_mean(fact).alias("rating"))
     peak = F.avg(F.when(is_peak(cfg), F.col("rating")))
     off = F.avg(F.when(~is_peak(cfg), F.col("rating")))
     gap = F.col("gap")
@@ -172,21 +171,20 @@ def peak_rating_penalty(fact: DataFrame, cfg: RetailConfig) -> DataFrame:
                    gap > MIN_PEAK_PENALTY)
 
 
-def affinity_lift(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
-    """Lift of a known pair among baskets of more than one product.
-
-    A basket is reduced to four small values on the map side; its products are
-    never gathered.
-    """
+def affinity_lift(masks: DataFrame, dim_product: DataFrame, cfg: RetailConfig) -> DataFrame:
+    """Lift of a known pair among baskets of more than one product, from the stored basket masks."""
     a, b = cfg.signals.affinity_pair
-    skus = dim_product.select(
-        "product_key", (F.col("sku") == a).alias("is_a"), (F.col("sku") == b).alias("is_b"))
-    baskets = fact.select("invoice_id", "product_key").join(skus, "product_key").groupBy(
-        "invoice_id"
-    ).agg(
-        F.min("product_key").alias("lo"), F.max("product_key").alias("hi"),
-        F.max("is_a").alias("a"), F.max("is_b").alias("b"),
-    ).filter(F.col("lo") < F.col("hi"))
+    known = F.broadcast(product_bits(dim_product.filter(F.col("sku").isin(a, b)), cfg).select(
+        "block", *[F.when(F.col("sku") == sku, F.col("bit")).otherwise(F.lit(0).cast("bigint")).alias(name)
+                   for sku, name in ((a, "bit_a"), (b, "bit_b"))],
+    ).groupBy("block").agg(F.bit_or("bit_a").alias("bit_a"), F.bit_or("bit_b").alias("bit_b")))
+
+    def held(bit: str) -> Column:
+        return F.max(F.coalesce(F.col("mask").bitwiseAND(F.col(bit)) != 0, F.lit(False)))
+
+    baskets = masks.join(known, "block", "left").groupBy("invoice_id").agg(
+        F.sum(F.bit_count("mask")).alias("items"), held("bit_a").alias("a"), held("bit_b").alias("b"),
+    ).filter(F.col("items") > 1)
 
     def part(cond: Column) -> Column:
         return ratio(F.count(F.when(cond, 1)), F.count("*"))
@@ -211,16 +209,17 @@ def margin_spread(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def headline_figures(fact: DataFrame, dim_branch: DataFrame, rfm_base: DataFrame) -> DataFrame:
     totals = fact.agg(
-        F.count("*").alias("line_items"),
-        F.countDistinct("invoice_id").alias("invoices"),
+        line_count(fact).alias("line_items"),
+        invoice_count(fact).alias("invoices"),
         F.min("sale_date").alias("first_sale"),
         F.max("sale_date").alias("last_sale"),
         F.sum("total_amount").alias("rev"),
         F.sum("gross_profit").alias("profit"),
     )
-    places = fact.select("branch_key").distinct().join(dim_branch, "branch_key").agg(
-        F.struct(F.countDistinct("branch_key").alias("branches"),
-                 F.countDistinct("city").alias("cities"))).scalar()
+    cities = fact.select("branch_key").distinct().join(dim_branch, "branch_key").groupBy("city").agg(
+        F.count("*").alias("branches"))
+    places = cities.agg(F.struct(F.coalesce(F.sum("branches"), F.lit(0).cast("bigint")).alias("branches"),
+                                 F.count("city").alias("cities"))).scalar()
     spread = rfm_base.groupBy("frequency").agg(F.count("*").alias("n")).agg(F.struct(
         F.sum("n").alias("customers"),
         F.percentile("frequency", 0.5, F.col("n")).alias("p50"),
@@ -246,22 +245,23 @@ def headline_figures(fact: DataFrame, dim_branch: DataFrame, rfm_base: DataFrame
 # Every signal by its short name.
 SIGNALS = {
     "sig_defect_rate": lambda w: defect_rate(w.normalised, w.cfg),
-    "sig_cagr": lambda w: cagr(w.fact_sales),
-    "sig_dip_year": lambda w: dip_year(w.fact_sales, w.cfg),
-    "sig_rebound_year": lambda w: rebound_year(w.fact_sales, w.cfg),
-    "sig_q4_peak": lambda w: q4_peak(w.fact_sales),
-    "sig_weekend_lift": lambda w: weekend_lift(w.fact_sales),
-    "sig_mix_gain": lambda w: mix_gain(w.fact_sales, w.dim_product, w.cfg),
-    "sig_mix_loss": lambda w: mix_loss(w.fact_sales, w.dim_product, w.cfg),
+    "sig_cagr": lambda w: cagr(sales(w)),
+    "sig_dip_year": lambda w: dip_year(sales(w), w.cfg),
+    "sig_rebound_year": lambda w: rebound_year(sales(w), w.cfg),
+    "sig_q4_peak": lambda w: q4_peak(sales(w)),
+    "sig_weekend_lift": lambda w: weekend_lift(sales(w)),
+    "sig_mix_gain": lambda w: mix_gain(sales(w, "product_key"), w.dim_product, w.cfg),
+    "sig_mix_loss": lambda w: mix_loss(sales(w, "product_key"), w.dim_product, w.cfg),
     "sig_repeat_rate": lambda w: repeat_rate(w.rfm_base),
-    "sig_top20_share": lambda w: top20_share(w.rfm_base, w.spool),
-    "sig_peak_rating_penalty": lambda w: peak_rating_penalty(w.fact_sales, w.cfg),
-    "sig_affinity_lift": lambda w: affinity_lift(w.fact_sales, w.dim_product, w.cfg),
-    "sig_margin_spread": lambda w: margin_spread(w.fact_sales, w.dim_product),
+    "sig_top20_share": lambda w: top20_share(w.customer_rfm),
+    "sig_peak_rating_penalty": lambda w: peak_rating_penalty(sales(w, "sale_hour"), w.cfg),
+    "sig_affinity_lift": lambda w: affinity_lift(w.basket_masks, w.dim_product, w.cfg),
+    "sig_margin_spread": lambda w: margin_spread(sales(w, "product_key"), w.dim_product),
 }
 
 
 def signal_report(wh) -> DataFrame:
+    """All signals; none of them reads the sales lines, only tables made of them."""
     return reduce(DataFrame.unionByName, (build(wh) for build in SIGNALS.values()))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopstar.operators import (
     branch, customer, dims, growth, layout, pages, product, profiles, quality, semantic,
     signals)
+from shopstar.operators.aggregates import sales
 from shopstar.plans.warehouse import Warehouse, sample_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,11 +56,11 @@ def _steps() -> dict[str, Operator]:
         "rfm_base": lambda w: p.rfm_rows(w.rfm_base),
         "rfm_score": lambda w: w.customer_rfm.select(
             "customer_key", "r_score", "f_score", "m_score"),
-        "rfm_segment": lambda w: p.rfm_rows(w.customer_rfm),
+        "rfm_segment": lambda w: p.rfm_rows(w.customer_rfm.drop("monetary_rank")),
         "dim_customer_rfm": lambda w: p.rfm_rows(w.dim_customer_rfm),
         "cohort_retention_long": lambda w: semantic.cohort_retention_long(w.cohort_counts, w.cfg),
         "basket_affinity": lambda w: semantic.basket_affinity(w.pair_counts, w.dim_product, w.cfg),
-        "kpi_monthly": lambda w: semantic.kpi_monthly(w.fact_sales, w.dim_date, w.dim_branch),
+        "kpi_monthly": lambda w: semantic.kpi_monthly(w.fact_invoices, w.dim_date, w.dim_branch),
         "append_audit": lambda w: quality.append_audit(w).drop("loaded_at"),
         "load_audit_report": lambda w: quality.load_audit_report(w.load_audit).drop("loaded_at"),
     }
@@ -67,53 +68,52 @@ def _steps() -> dict[str, Operator]:
 
 def _analysis() -> dict[str, Operator]:
     return {
-        "growth_exec_summary": lambda w: growth.exec_summary(w.fact_sales),
-        "growth_monthly_trend": lambda w: growth.monthly_trend(w.fact_sales, w.dim_date),
-        "growth_annual_cagr": lambda w: growth.annual_cagr(w.fact_sales, w.dim_date),
+        "growth_exec_summary": lambda w: growth.exec_summary(w.fact_invoices, w.dim_customer),
+        "growth_monthly_trend": lambda w: growth.monthly_trend(w.fact_invoices, w.dim_date),
+        "growth_annual_cagr": lambda w: growth.annual_cagr(w.fact_invoices, w.dim_date),
         "growth_like_for_like": lambda w: growth.like_for_like(
-            w.fact_sales, w.dim_date, w.dim_branch),
+            sales(w, "branch_key"), w.dim_date, w.dim_branch),
         "growth_seasonality_index": lambda w: growth.seasonality_index(
-            w.fact_sales, w.dim_date, w.cfg),
-        "growth_day_of_week": lambda w: growth.day_of_week(w.fact_sales, w.dim_date),
-        "growth_promo_uplift": lambda w: growth.promo_uplift(w.fact_sales, w.dim_date),
-        "growth_rolling_28d": lambda w: growth.rolling_28d(w.fact_sales, w.dim_date, w.cfg),
-        "customer_base_overview": lambda w: customer.base_overview(w.fact_sales, w.dim_customer),
+            sales(w), w.dim_date, w.cfg),
+        "growth_day_of_week": lambda w: growth.day_of_week(w.fact_invoices, w.dim_date),
+        "growth_promo_uplift": lambda w: growth.promo_uplift(sales(w), w.dim_date),
+        "growth_rolling_28d": lambda w: growth.rolling_28d(sales(w), w.dim_date, w.cfg),
+        "customer_base_overview": lambda w: customer.base_overview(w.fact_invoices, w.dim_customer),
         "customer_rfm_summary": lambda w: customer.rfm_summary(w.customer_rfm),
-        "customer_value_deciles": lambda w: customer.value_deciles(w.customer_rfm, w.spool),
+        "customer_value_deciles": lambda w: customer.value_deciles(w.customer_rfm),
         "customer_cohort_matrix": lambda w: customer.cohort_matrix(w.cohort_counts, w.cfg),
         "customer_retention_curve": lambda w: customer.retention_curve(
-            w.cohort_counts, w.fact_sales, w.cfg),
+            w.cohort_counts, sales(w), w.cfg),
         "customer_clv_by_segment": lambda w: customer.clv_by_segment(w.customer_rfm),
         "customer_revenue_at_risk": lambda w: customer.revenue_at_risk(w.customer_rfm),
         "customer_new_vs_returning": lambda w: customer.new_vs_returning(
-            w.fact_sales, w.dim_customer, w.cfg),
-        "customer_purchase_gap": lambda w: customer.purchase_gap(w.fact_sales),
+            w.fact_invoices, w.dim_customer, w.cfg),
+        "customer_purchase_gap": lambda w: customer.purchase_gap(w.fact_invoices),
         "product_line_performance": lambda w: product.line_performance(
-            w.fact_sales, w.dim_product),
+            sales(w, "product_key"), w.dim_product),
         "product_abc_skus": lambda w: product.abc_skus(
-            w.fact_sales, w.dim_product, w.cfg, w.spool),
+            sales(w, "product_key"), w.dim_product, w.cfg, w.spool),
         "product_abc_summary": lambda w: product.abc_summary(
-            w.fact_sales, w.dim_product, w.cfg, w.spool),
+            sales(w, "product_key"), w.dim_product, w.cfg, w.spool),
         "product_mix_shift": lambda w: product.mix_shift(
-            w.fact_sales, w.dim_date, w.dim_product, w.cfg),
+            sales(w, "product_key"), w.dim_date, w.dim_product, w.cfg),
         "product_top_affinities": lambda w: product.top_affinities(
             w.pair_counts, w.dim_product, w.cfg),
-        "product_cross_category": lambda w: product.cross_category(
-            w.pair_counts, w.dim_product, w.cfg),
-        "product_basket_size": lambda w: product.basket_size(w.fact_sales),
+        "product_cross_category": lambda w: product.cross_category(w.line_pair_counts, w.cfg),
+        "product_basket_size": lambda w: product.basket_size(w.fact_invoices),
         "product_price_bands": lambda w: product.price_bands(w.fact_sales, w.dim_product),
         "product_by_segment": lambda w: product.lines_by_segment(
             w.fact_sales, w.customer_rfm, w.dim_product, w.cfg),
-        "branch_scorecard": lambda w: branch.scorecard(w.fact_sales, w.dim_branch, w.cfg),
-        "branch_region_rollup": lambda w: branch.region_rollup(w.fact_sales, w.dim_branch),
+        "branch_scorecard": lambda w: branch.scorecard(w.fact_invoices, w.dim_branch, w.cfg),
+        "branch_region_rollup": lambda w: branch.region_rollup(sales(w, "branch_key"), w.dim_branch),
         "branch_hour_weekday_heatmap": lambda w: branch.hour_weekday_heatmap(
-            w.fact_sales, w.dim_date),
-        "branch_hourly_service": lambda w: branch.hourly_service(w.fact_sales),
-        "branch_peak_service_gap": lambda w: branch.peak_service_gap(w.fact_sales, w.cfg),
+            sales(w, "sale_hour"), w.dim_date),
+        "branch_hourly_service": lambda w: branch.hourly_service(w.fact_invoices),
+        "branch_peak_service_gap": lambda w: branch.peak_service_gap(w.fact_invoices, w.cfg),
         "branch_payment_adoption": lambda w: branch.payment_adoption(
-            w.fact_sales, w.dim_date, w.dim_payment, w.cfg),
+            sales(w, "payment_key"), w.dim_date, w.dim_payment, w.cfg),
         "branch_rank_movement": lambda w: branch.rank_movement(
-            w.fact_sales, w.dim_date, w.dim_branch, w.cfg),
+            sales(w, "branch_key"), w.dim_date, w.dim_branch, w.cfg),
         "branch_rating_distribution": lambda w: branch.rating_distribution(
             w.fact_sales, w.dim_branch),
     }
@@ -135,7 +135,7 @@ def _signals() -> dict[str, Operator]:
         "defect_profile": lambda w: signals.defect_profile(w.normalised, w.cfg),
         **{name: (lambda w, build=build: build(w)) for name, build in signals.SIGNALS.items()},
         "headline_figures": lambda w: signals.headline_figures(
-            w.fact_sales, w.dim_branch, w.rfm_base),
+            w.fact_invoices, w.dim_branch, w.rfm_base),
         "signal_report": signals.signal_report,
     }
 

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
-from shopstar.operators import clean, dims, fact, quality, rfm, semantic
+from shopstar.operators import aggregates, baskets, clean, dims, fact, quality, rfm, semantic
 from shopstar.functions.ranking import range_sorted
+from shopstar.functions.skew import is_small
 from shopstar.sources import store
 from shopstar.sources.landing import Landing, read_landing_csv, write_landing_csv
 from shopstar.sources.sample_landing import sample_landing
@@ -35,16 +36,25 @@ TABLES = {
     "dim_payment": MARTS,
     "dim_customer_static": MARTS,
     "fact_sales": MARTS,
+    "fact_invoices": MARTS,
+    "daily_cube": MARTS,
+    "invoice_index": MARTS,
+    "customer_index": MARTS,
     "dim_customer": MARTS,
     "rfm_base": STAGING,
     "customer_rfm": STAGING,
     "dim_customer_rfm": MARTS,
     "cohort_counts": MARTS,
+    "basket_masks": STAGING,
     "pair_counts": MARTS,
+    "line_pair_counts": MARTS,
     "load_audit": STAGING,
     "dq_results": STAGING,
 }
 
+# Tables that tell in which months a key has sales.
+INDEXES = {"invoice_index": "invoice_id", "customer_index": "customer_key"}
+
 
 class Warehouse:
     """Tables are written on first use and read back, which also cuts lineage."""
@@ -112,9 +122,16 @@ class Warehouse:
             named = {d: self.table(d) for d in ("dim_branch", "dim_product", "dim_payment")}
             named["dim_customer"] = self.dim_customer_static
             df = fact.fact_sales(self.stg_sales_sorted, named, self.cfg)
-            written = store.write_fact_partitioned(df, self._path(name))
+            # Lookups by broadcast leave the rows in the order of the clean table.
+            in_order = all(is_small(d, self.cfg) for d in named.values())
+            written = store.write_fact_partitioned(df, self._path(name), in_order)
             fact.assert_no_default_partition(written, self.cfg)
             return written
+        if name in INDEXES:
+            return store.write_index(self.fact_invoices, INDEXES[name], self._path(name))
+        if name == "daily_cube":
+            cube = aggregates.daily_cube(self.fact_sales, self.fact_invoices)
+            return store.write_cube(cube, self._path(name))
         if name == "fact_sales_flat":
             return store.write_fact_flat(self.fact_sales, self._path(name))
         written = store.write_table(self._frame(name), self._path(name))
@@ -132,7 +149,7 @@ class Warehouse:
             "normalised": lambda: clean.normalise(self.sales_landing, cfg, self.spool),
             "stg_sales_rejects": lambda: clean.quarantine(self.normalised),
             "stg_sales_sorted": lambda: range_sorted(
-                clean.clean_sales(self.normalised, cfg), *clean.SALE_ORDER),
+                clean.clean_sales(self.normalised), *clean.SALE_ORDER),
             "dim_date": lambda: dims.dim_date(dims.sales_bounds(self.stg_sales, cfg), cfg),
             "dim_branch": lambda: dims.dim_branch(
                 self.branches_landing, cfg, self.spool),
@@ -141,15 +158,19 @@ class Warehouse:
             "dim_payment": lambda: dims.dim_payment(self.stg_sales, cfg, self.spool),
             "dim_customer_static": lambda: dims.dim_customer_static(
                 self.customers_landing, self.spool),
+            "fact_invoices": lambda: aggregates.fact_invoices(self.fact_sales, cfg),
             "dim_customer": lambda: dims.customer_enrich(
-                self.dim_customer_static, self.fact_sales),
-            "rfm_base": lambda: rfm.rfm_base(self.fact_sales),
+                self.dim_customer_static, self.fact_invoices),
+            "rfm_base": lambda: rfm.rfm_base(self.fact_invoices),
             "customer_rfm": lambda: rfm.rfm_segment(
                 self.rfm_base, rfm.rfm_score(self.rfm_base, self.spool)),
             "dim_customer_rfm": lambda: rfm.dim_customer_rfm(self.customer_rfm),
-            "cohort_counts": lambda: semantic.cohort_counts(self.fact_sales, self.dim_customer),
-            "pair_counts": lambda: semantic.pair_counts(
-                self.fact_sales, self.dim_product, cfg, self.spool),
+            "cohort_counts": lambda: semantic.cohort_counts(self.fact_invoices, self.dim_customer),
+            "basket_masks": lambda: baskets.basket_masks(self.fact_sales, cfg),
+            "pair_counts": lambda: baskets.pair_counts(
+                self.fact_sales, self.dim_product, cfg, self.spool, cfg.min_pair_baskets, self.basket_masks),
+            "line_pair_counts": lambda: baskets.line_pair_counts(
+                self.basket_masks, self.dim_product, cfg, self.spool),
             "load_audit": lambda: quality.append_audit(self),
             "dq_results": lambda: quality.run_checks(self),
         }

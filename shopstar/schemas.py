@@ -22,8 +22,10 @@ MONEY_2 = T.DecimalType(12, 2)
 MONEY_4 = T.DecimalType(12, 4)
 PRICE = T.DecimalType(10, 2)
 RATING = T.DecimalType(3, 1)
-PARSED = T.DecimalType(14, 4)
-WIDE = T.DecimalType(38, 4)  # tells a number that does not fit from text that is none
+MARGIN = T.DecimalType(23, 18)
+# Numbers as delivered; they are rounded once, to the scale of their column.
+PARSED = T.DecimalType(38, 18)
+WIDE = T.DecimalType(38, 4)  # tells a rating that does not fit from text that is none
 
 FACT_COLUMNS = {
     "sale_id": "bigint",

@@ -30,29 +30,51 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_fact_flat(fact: DataFrame, path: str) -> DataFrame:
-    """The control copy: the same rows, without month folders."""
-    return write_table(fact, path)
+    """The control copy: the same rows without month folders and in no order, as a plain heap would hold them."""
+    heap = fact.repartition(F.xxhash64(F.lit("heap"), "sale_id"))
+    return write_table(heap, path)
 
 
-def write_fact_partitioned(fact: DataFrame, path: str) -> DataFrame:
+def write_index(fact: DataFrame, key: str, path: str) -> DataFrame:
+    """(key, sale_month) of all sales, sorted by key over all files, so that a lookup opens one of them."""
+    pairs = fact.select(key, "sale_month").distinct()
+    return write_table(pairs.repartitionByRange(key, "sale_month").sortWithinPartitions(key, "sale_month"), path)
+
+
+def write_fact_partitioned(fact: DataFrame, path: str, by_date: bool = False) -> DataFrame:
     """One folder per month; inside, rows sorted by customer and invoice.
 
-    The range shuffle runs over the whole sort order, so a busy month, or the
-    anonymous customer within one, is written by several tasks. The sort keeps
-    the min/max of a Parquet row group narrow for lookups of one customer.
+    `by_date` says that the rows still come in runs of dates, as the clean table
+    is stored: then every task holds a few months, a busy month is spread over
+    several tasks already, and each only sorts its own rows. Otherwise a range
+    shuffle over the whole sort order does this. The sort keeps the min/max of a
+    Parquet row group narrow for lookups of one customer, and Bloom filters tell
+    which row groups can hold an invoice or a customer.
     """
     assert_schema(fact, FACT_COLUMNS, "fact_sales")
     order = ["sale_month", "customer_key", "invoice_id", "line_no"]
+    dealt = fact if by_date else fact.repartitionByRange(*order)
+    writer = dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("sale_month")
+    for column in ("invoice_id", "customer_key"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
+    return fact.sparkSession.read.schema(fact.schema).parquet(path)
+
+
+def write_cube(cube: DataFrame, path: str) -> DataFrame:
+    """One folder per level and year; large ones are written by several tasks."""
+    order = ["level", "sale_year", "sale_date", "key"]
     (
-        fact.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite").partitionBy("sale_month").parquet(path)
+        cube.repartitionByRange(*order).sortWithinPartitions(*order)
+        .write.mode("overwrite").partitionBy("level", "sale_year").parquet(path)
     )
-    return fact.sparkSession.read.schema(fact.schema).parquet(path)
+    return cube.sparkSession.read.schema(cube.schema).parquet(path)
 
 
 def date_range(fact: DataFrame, first: Column, last: Column) -> DataFrame:
     """Sales from `first` to `last`; the month bound is what prunes folders."""
+    if "sale_year" in fact.columns:  # a cube, stored by years
+        fact = fact.filter(F.col("sale_year").between(F.year(first), F.year(last)))
     return fact.filter(
         F.col("sale_date").between(first, last)
         & F.col("sale_month").between(F.trunc(first, "month"), last)

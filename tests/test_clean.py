@@ -64,6 +64,8 @@ def test_reasons_in_order_of_precedence(spark, tmp_path):
         ({"unit_price": "99999999", "quantity": "2000"}, "VALUE_OUT_OF_RANGE"),
         ({"gross_margin_pct": "200000"}, "VALUE_OUT_OF_RANGE"),
         ({"rating": "100.5"}, "VALUE_OUT_OF_RANGE"),
+        ({"unit_price": "1" + "0" * 25}, "VALUE_OUT_OF_RANGE"),
+        ({"unit_price": "1.2.3"}, "INVALID_UNIT_PRICE"),
         ({"quantity": "0.4"}, "NON_POSITIVE_QUANTITY"),
         ({"unit_price": "0.004"}, "NON_POSITIVE_UNIT_PRICE"),
     ]
@@ -75,7 +77,7 @@ def test_reasons_in_order_of_precedence(spark, tmp_path):
 
 def test_repairs(spark, tmp_path):
     stg = clean.clean_sales(normalised(
-        spark, tmp_path, {}, {"customer_id": " ", "customer_type": "Member"}), RetailConfig())
+        spark, tmp_path, {}, {"customer_id": " ", "customer_type": "Member"}))
     a, b = stg.orderBy("invoice_id").collect()
     assert (a.branch_code, a.city, a.gender, a.product_sku) == ("A", "Yangon", "Female", "ELE-001")
     assert (a.customer_type, a.customer_type_was_repaired) == ("Member", True)
@@ -86,6 +88,27 @@ def test_repairs(spark, tmp_path):
     assert a.cogs == Decimal("1975.20") and a.gross_profit == Decimal("493.8000")
 
 
+def test_numbers_are_rounded_once(spark, tmp_path):
+    """Against exact arithmetic: half away from zero, from all decimals of the delivered numbers."""
+    from decimal import ROUND_HALF_UP
+
+    cases = [("1.00495", "1", "12.345678"), ("10.00", "2.49996", "20"), ("2.00495", "2.4", "12.345678"),
+             ("$1,234.567891", "3", "33.333333333"), ("0.00500", "7", "-5.5"), ("19.99", "3", "100")]
+    out = clean.clean_sales(normalised(spark, tmp_path, *(
+        {"unit_price": p, "quantity": q, "gross_margin_pct": m} for p, q, m in cases)))
+    rows = {int(r.invoice_id[4:]): r for r in out.collect()}
+    assert len(rows) == len(cases)
+    for i, (price, quantity, margin) in enumerate(cases):
+        p, q, m = Decimal(price.strip("$").replace(",", "")), Decimal(quantity), Decimal(margin) / 100
+        to = lambda x, places: x.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP)
+        r = rows[i]
+        assert (r.unit_price, r.quantity, r.gross_margin_pct) == (to(p, 2), int(to(q, 0)), m * 100)
+        assert (r.gross_sales, r.tax_amount, r.total_amount) == (
+            to(p * q, 2), to(p * q * Decimal("0.05"), 4), to(p * q * Decimal("1.05"), 4))
+        assert (r.cogs, r.gross_profit) == (to(p * q * (1 - m), 2), to(p * q * m, 4))
+    assert (rows[0].unit_price, rows[1].quantity) == (Decimal("1.00"), 2)
+
+
 def test_duplicates_are_set_aside_not_dropped(spark, tmp_path):
     rows = [{"invoice_id": "x", "date": d} for d in (None, "2022-05-07", "2022-05-06")]
     rows += [{"invoice_id": None, "line_no": "7"}] * 2
@@ -122,12 +145,12 @@ def test_payment(spark, text, want):
 def test_empty_landing(spark, tmp_path):
     empty = spark.createDataFrame([], schemas.SALES_LANDING)
     out = clean.normalise(empty, RetailConfig(), spooler(tmp_path))
-    assert out.count() == 0 and clean.clean_sales(out, RetailConfig()).count() == 0
+    assert out.count() == 0 and clean.clean_sales(out).count() == 0
 
 
 def test_split_keeps_every_row(spark, tmp_path):
     out = normalised(spark, tmp_path, {}, {"quantity": "-1"}, {"date": "x"}, {})
-    n = clean.clean_sales(out, RetailConfig()).count() + clean.quarantine(out).count()
+    n = clean.clean_sales(out).count() + clean.quarantine(out).count()
     assert n == out.count() == 4
     by_reason = {r.reject_reason: r.rows_rejected
                  for r in quality.reject_counts(clean.quarantine(out)).collect()}

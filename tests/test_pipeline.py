@@ -185,7 +185,7 @@ def test_periods_end_with_the_last_date_chosen(wh):
 
 def test_every_measure_takes_any_context(wh):
     """All measures, by a fact column and a segment, under slicers of every table."""
-    names = [*measures.base_measures(wh.cfg), *measures.LAST_YEAR, *measures.PERIODS,
+    names = [*measures.MEASURES, *measures.LAST_YEAR, *measures.PERIODS,
              *measures.CUSTOMER, "new_customers"]
     df = measures.measures(
         wh, names, ["sale_hour", "value_band", "home_city", "quarter_name"],
