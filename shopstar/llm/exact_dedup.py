@@ -64,15 +64,22 @@ class DigestIndex:
         """(digest, keep_id), one row per text."""
         return self.spark.table(self.table)
 
-    def add(self, arrivals: DataFrame) -> None:
-        """Append the digests of `arrivals` (doc_id, digest) that are not known yet.
+    def unknown(self, arrivals: DataFrame) -> DataFrame:
+        """(digest, keep_id) of the texts of `arrivals` (doc_id, digest) that are not known yet.
 
         Copies within the batch are summed up on the map side, so a text that is
-        everywhere is one row per task when it meets the index.
+        everywhere is one row per task when it meets the index. The row number is
+        there for the optimizer only: as it is not deterministic, the anti-join
+        stays above the sums, where it would else meet every single row.
         """
-        own = arrivals.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
-        new = own.join(self.known().hint("merge"), "digest", "left_anti")
-        new.select("digest", "keep_id").write.insertInto(self.table)
+        own = arrivals.groupBy("digest").agg(F.max("doc_id").alias("keep_id")).withColumn(
+            "_row", F.monotonically_increasing_id())
+        return own.join(self.known().hint("merge"), "digest", "left_anti").filter("_row >= 0").select(
+            "digest", "keep_id")
+
+    def add(self, arrivals: DataFrame) -> None:
+        """Append what is unknown() of the batch."""
+        self.unknown(arrivals).write.insertInto(self.table)
 
     def compact(self) -> None:
         """Write every bucket as one sorted file again, in a folder of the next generation."""

@@ -208,14 +208,12 @@ def test_digest_index_goes_on(spark):
 
 
 def test_exact_dedup_plan(spark, monkeypatch):
-    """New digests meet the index by a sort-merge anti-join without a shuffle of the index."""
+    """Summed up copies meet the index by a sort-merge anti-join without a shuffle of the index."""
     plans = []
     add = exact_dedup.DigestIndex.add
 
     def explained(self, batch):
-        own = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
-        new = own.join(self.known().hint("merge"), "digest", "left_anti")
-        plans.append(new._jdf.queryExecution().executedPlan().toString())
+        plans.append(self.unknown(batch)._jdf.queryExecution().executedPlan().toString())
         add(self, batch)
 
     monkeypatch.setattr(exact_dedup.DigestIndex, "add", explained)
@@ -223,6 +221,7 @@ def test_exact_dedup_plan(spark, monkeypatch):
     assert len(plans) == 2
     for plan in plans:
         assert "SortMergeJoin" in plan and "LeftAnti" in plan and plan.count("Exchange") == 1
+        assert plan.index("SortMergeJoin") < plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
 
 
 def test_exact_dedup_of_nothing(spark):
