@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from shopstar.config import RetailConfig
+from shopstar.functions.skew import lookup
 from shopstar.llm.tables import Spool, aside, beside, restored
 from shopstar.llm.text import WORD, whole
 
@@ -20,8 +23,7 @@ class QualityRules:
 
     buckets: size of both multinomials. prior: added to every bucket, on the
     scale of the target's counts. min_score: documents whose mean log ratio per
-    n-gram is lower are rejected. target_rows: about so many trusted documents
-    are used (the lowest of a hash of their id); all of them if there are fewer.
+    n-gram is lower are rejected.
     """
 
     min_words: int = 50
@@ -29,7 +31,6 @@ class QualityRules:
     buckets: int = 1 << 15
     prior: float = 20.0
     min_score: float = -0.35
-    target_rows: int = 20_000
 
 
 def count_signs(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -43,18 +44,16 @@ def count_signs(docs: DataFrame, text: str = "text") -> DataFrame:
     df = docs.withColumns({
         "_words": F.regexp_extract_all(t, F.lit(WORD), 0),
         "_lines": lines,
-        "word_chars": F.length(F.regexp_replace(t, r"[\x20\x09-\x0D]+", "")).cast("bigint"),
         "n_symbols": F.length(F.regexp_replace(t, SYMBOLS, "")).cast("bigint"),
     })
     df = df.withColumns({
         "n_words": F.size("_words").cast("bigint"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-        "_hashes": F.transform("_words", lambda w: F.xxhash64(w)),
+        "_threes": F.arrays_zip(*[F.slice(
+            "_words", F.lit(i + 1), F.greatest(F.size("_words") - 2, F.lit(0))).alias(f"w{i}") for i in range(3)]),
     })
-    df = df.withColumn("_windows", F.slice(
-        F.transform("_hashes", lambda h, i: F.xxhash64(
-            h, F.get("_hashes", i + 1), F.get("_hashes", i + 2))),
-        F.lit(1), F.greatest(F.size("_hashes") - 2, F.lit(0))))
+    df = df.withColumn("_windows", F.transform("_threes", lambda w: F.xxhash64(w)))
     df = df.withColumn("_sorted", F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
         F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
@@ -67,41 +66,53 @@ def count_signs(docs: DataFrame, text: str = "text") -> DataFrame:
         F.lit(0), lambda a, x: a + x)
     return df.withColumn(
         "n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")
-    ).drop("_words", "_lines", "_hashes", "_windows", "_sorted", "_starts")
+    ).drop("_words", "_lines", "_threes", "_windows", "_sorted", "_starts")
 
 
-def ngram_buckets(docs: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
-    """Adds _grams: the bucket of every single token and of every pair of neighbours."""
-    bucket = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(rules.buckets)).cast("int")
-    df = docs.withColumn("_tokens", F.regexp_extract_all(whole(text), F.lit(TOKEN), 0))
-    return df.withColumn("_grams", F.concat(
-        F.transform("_tokens", lambda t: bucket(t)),
-        F.transform("_tokens", lambda t, i: bucket(
-            t, F.lit(" "), F.coalesce(F.get("_tokens", i + 1), F.lit("")))),
-    )).drop("_tokens")
+def token_pairs() -> Column:
+    """Every token and the one after it; none follows the last."""
+    tokens = F.col("_tokens")
+    return F.arrays_zip(tokens.alias("token"), F.slice(tokens, F.lit(2), F.size(tokens)).alias("after"))
 
 
-def trusted_ids(labels: DataFrame, rules: QualityRules) -> DataFrame:
-    """Ids of the trusted target, at most about target_rows by the hash of the id."""
-    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    share = min(1.0, rules.target_rows / max(good.count(), 1))
-    return good.filter(
-        F.pmod(F.xxhash64(F.lit("target"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+def pair_buckets(pair: Column, rules: QualityRules) -> tuple[Column, Column]:
+    """Buckets of a single token and of the token with its neighbour."""
+    def bucket(*parts: Column) -> Column:
+        h = F.xxhash64(*parts)
+        if rules.buckets & (rules.buckets - 1) == 0:
+            return h.bitwiseAND(F.lit(rules.buckets - 1).cast("bigint")).cast("int")
+        return F.pmod(h, F.lit(rules.buckets)).cast("int")
+
+    token = pair["token"]
+    return bucket(token), bucket(token, F.lit(" "), F.coalesce(pair["after"], F.lit("")))
+
+
+def tokenised(docs: DataFrame, text: str = "text") -> DataFrame:
+    return docs.withColumn("_tokens", F.regexp_extract_all(whole(text), F.lit(TOKEN), 0))
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the trusted target, all of them."""
+    return labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def log_ratios(docs: DataFrame, target: DataFrame, rules: QualityRules, spool: Spool,
-               text: str = "text") -> DataFrame:
+               text: str = "text", cfg: RetailConfig = RetailConfig()) -> DataFrame:
     """One row: `ratios`, for every bucket the log of the target's over the corpus's share.
 
-    The corpus counts cover every n-gram of every document. They are scaled to
-    the target's size before the prior is added, so that a rare n-gram, which
-    says little, gets a ratio near 0. Without a target all ratios are 0.
+    Both counts cover every n-gram of every document, of the corpus and of the
+    target. Trusted ids are sent to the documents while their number is small, and
+    are joined by shuffle beyond that; the counts are the same. The corpus counts
+    are scaled to the target's size before the prior is added, so that a rare
+    n-gram, which says little, gets a ratio near 0. Without a target all ratios
+    are 0.
     """
-    flagged = docs.select("doc_id", text).join(
-        F.broadcast(target.select("doc_id", F.lit(1).alias("_target"))), "doc_id", "left")
-    grams = ngram_buckets(flagged, rules, text).select(
-        F.coalesce("_target", F.lit(0)).alias("_target"),
-        F.explode_outer("_grams").alias("bucket")).filter("bucket is not null")
+    ids = spool.write(target.select("doc_id", F.lit(1).alias("_target")), "target")
+    own = docs.select("doc_id", text, F.xxhash64(text).alias("_at"))
+    flagged = lookup(own, ids, ["doc_id"], cfg, "_at", "left", docs, ids)
+    pairs = tokenised(flagged, text).select(
+        F.coalesce("_target", F.lit(0)).alias("_target"), F.explode(token_pairs()).alias("_pair"))
+    grams = pairs.select("_target", F.explode(F.array(*pair_buckets(F.col("_pair"), rules))).alias("bucket"))
     counts = spool.write(
         grams.groupBy("bucket").agg(F.count("*").alias("n_all"), F.sum("_target").alias("n_good")),
         "counts")
@@ -124,12 +135,13 @@ def score_documents(docs: DataFrame, model: DataFrame, rules: QualityRules, text
     executors, and documents are scored where they are, without a shuffle.
     """
     one = lambda size: F.pmod(size, F.lit(1))  # noqa: E731  the same for all rows
-    both = ngram_buckets(docs, rules, text).withColumn("_model", one(F.length(whole(text)))).join(
+    both = tokenised(docs, text).withColumns({
+        "_pairs": token_pairs(), "_model": one(F.length(whole(text)))}).join(
         F.broadcast(model.withColumn("_model", one(F.size("ratios")))), "_model")
-    total = F.aggregate(
-        "_grams", F.lit(0.0), lambda a, g: a + F.coalesce(F.get("ratios", g), F.lit(0.0)))
-    score = F.coalesce(F.try_divide(total, F.size("_grams")), F.lit(0.0))
-    return both.withColumn("score", F.round(score, 9)).drop("_grams", "ratios", "_model")
+    total = F.aggregate("_pairs", F.lit(0.0), lambda a, p: reduce(
+        Column.__add__, [F.coalesce(F.get("ratios", b), F.lit(0.0)) for b in pair_buckets(p, rules)], a))
+    score = F.coalesce(F.try_divide(total, 2 * F.size("_pairs")), F.lit(0.0))
+    return both.withColumn("score", F.round(score, 9)).drop("_tokens", "_pairs", "ratios", "_model")
 
 
 SIGNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -144,7 +156,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qualit
     from the target. An empty table gives an empty one.
     """
     spool = Spool(docs.sparkSession, "quality-rules")
-    model = log_ratios(docs, trusted_ids(labels, rules), rules, spool, text)
+    model = log_ratios(docs, trusted_ids(labels), rules, spool, text)
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
 
