@@ -57,25 +57,57 @@ class PiiRules:
     context_chars: int = 40
 
 
-def spans(text: Column, kind: str, pattern: str, hint: str) -> Column:
-    """All matches, leftmost and not overlapping, with code point offsets, end exclusive.
-
-    The gaps between the matches come from splitting the text at them; adding up
-    gaps and matches gives the offsets.
+# Sums are built over slices of so many numbers, on so many levels, and texts are
+# cut into chunks of so many code points; neither changes a result.
+SLICE, LEVELS = 32, 3
+CHUNK = 256
+
+
+def pieces(text: Column, n: int, pattern: str, hint: str) -> Column:
+    """The text as gaps, each with the match behind it ('' after the last): array of (kind, gap, hit)."""
+    hits = F.concat(F.regexp_extract_all(text, F.lit(pattern), 0), F.array(F.lit("")))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
+    pairs = F.transform(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda p: F.struct(
+        F.lit(n).alias("kind"), p["gap"].alias("gap"), p["hit"].alias("hit")))
+    none = F.array(F.struct(F.lit(n).alias("kind"), F.length(text).alias("gap"), F.lit("").alias("hit")))
+    return F.when(text.rlike(hint), pairs).otherwise(none)
+
+
+def with_sums(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds, for every number of an array, the sum of those before it.
+
+    Slices are summed, then slices of slices; the sum before a number is that
+    before its slice and of the few before it within the slice. So the work grows
+    with the array, where a running list would be copied for every number. Every
+    array is mentioned twice where it is used: the optimizer then keeps it as a
+    column and does not build it anew per element.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(gaps.alias("gap"), F.concat(found, F.array(F.lit(""))).alias("hit"))
-    empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint,kind:string,match:string>>)")
-    step = lambda a, p: F.struct(
-        (a["at"] + F.length(p["gap"]) + F.length(p["hit"])).cast("bigint").alias("at"),
-        F.when(p["hit"] == "", a["out"]).otherwise(F.array_append(a["out"], F.struct(
-            (a["at"] + F.length(p["gap"])).cast("bigint").alias("start"),
-            (a["at"] + F.length(p["gap"]) + F.length(p["hit"])).cast("bigint").alias("end"),
-            F.lit(kind).alias("kind"), p["hit"].alias("match")))).alias("out"))
-    all_found = F.aggregate(
-        pairs, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(hint), all_found).otherwise(empty)
+    zero = F.lit(0).cast("bigint")
+
+    def total(numbers: str, start: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(numbers, start, n), zero, lambda a, x: a + x)
+
+    def of_slices(below: str) -> Column:
+        n = F.greatest(F.ceil(F.size(below) / SLICE).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), n), lambda i: total(below, (i - 1) * SLICE + 1, F.lit(SLICE)))
+
+    def within(below: str) -> Column:
+        own = lambda i: F.floor(i / SLICE).cast("int")
+        last = F.least(F.size(below), F.size("_before") * SLICE) - 1
+        sums = F.transform(F.sequence(F.lit(0), last), lambda i: F.get("_before", own(i)) + total(
+            below, own(i) * SLICE + 1, i % SLICE))
+        return F.when(F.size(below) > 0, sums).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+    names = [column]
+    for level in range(LEVELS):
+        df = df.withColumn(f"_sums{level}", of_slices(names[-1]))
+        names.append(f"_sums{level}")
+    top = names.pop()
+    df = df.withColumn("_before", F.transform(
+        F.sequence(F.lit(1), F.size(top)), lambda i: total(top, F.lit(1), i - 1)))
+    for below in reversed(names):
+        df = df.withColumn("_next", within(below)).drop("_before").withColumnRenamed("_next", "_before")
+    return df.withColumnRenamed("_before", out).drop(*names[1:], top)
 
 
 def digits_of(match: Column) -> Column:
@@ -127,14 +159,18 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
     empty texts have no span; every row is judged by itself, repeated ones alike.
     """
     t = whole(text)
-    base = F.concat(*[
-        F.filter(spans(t, kind, pattern, HINT[kind]), confirmed) for kind, pattern in BASE.items()])
-    more = F.concat(*[spans(t, e.kind, e.pattern, HINT[e.kind]) for e in EXTRAS])
-    order = F.create_map(*[
-        F.lit(x) for i, k in enumerate([*BASE, *(e.kind for e in EXTRAS)]) for x in (k, i)])
-    near = lambda s: F.substring(
-        t, F.greatest(s["start"] + 1 - rules.context_chars, F.lit(1)).cast("int"),
-        (s["end"] - s["start"] + 2 * rules.context_chars).cast("int"))
+    kinds = [*BASE, *(e.kind for e in EXTRAS)]
+    patterns = [*BASE.values(), *(e.pattern for e in EXTRAS)]
+    names = F.array(*map(F.lit, kinds))
+    order = F.create_map(*[F.lit(x) for i, k in enumerate(kinds) for x in (k, i)])
+
+    def near(s: Column) -> Column:
+        """The match with context_chars on both sides, from the chunks that hold them."""
+        first = F.greatest(s["start"] - rules.context_chars, F.lit(0)).cast("int")
+        chunk = F.floor(first / CHUNK).cast("int")
+        length = (s["end"] - s["start"] + 2 * rules.context_chars).cast("int")
+        part = F.array_join(F.slice("_chunks", chunk + 1, F.floor((first + length) / CHUNK).cast("int") - chunk + 1), "")
+        return F.substring(part, first - chunk * CHUNK + 1, length)
 
     def scored(s, is_base: bool):
         if is_base:
@@ -155,16 +191,52 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
             s["end"].alias("end"), s["match"].alias("match"),
             F.least(F.round(score, 2), F.lit(1.0)).alias("score"), F.lit(is_base).alias("base"))
 
-    free = lambda s: ~F.exists(
-        "_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    def free(s: Column) -> Column:
+        """No base span overlaps: of those of a kind that start before the end, the last one decides."""
+        def last_before(spans: str) -> Column:
+            # Halves the range of candidates until one is left.
+            step = lambda a, _: F.when(a["low"] < a["high"], F.when(
+                F.get(spans, F.floor((a["low"] + a["high"]) / 2).cast("int"))["start"] < s["end"],
+                F.struct((F.floor((a["low"] + a["high"]) / 2) + 1).cast("int").alias("low"), a["high"].alias("high")),
+            ).otherwise(F.struct(
+                a["low"].alias("low"), F.floor((a["low"] + a["high"]) / 2).cast("int").alias("high")))).otherwise(a)
+            steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + F.lit(1.0))).cast("int"))
+            found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(spans).alias("high")), step)
+            return F.get(spans, found["low"] - 1)
+
+        return reduce(lambda a, kind: a & F.coalesce(
+            last_before(f"_base_{kind}")["end"] <= s["start"], F.lit(True)), BASE, F.lit(True))
+
+    def checked(kind: str) -> Column:
+        return F.filter("_spans", lambda s: (s["kind"] == kind) & confirmed(s))
 
     def work(own: DataFrame) -> DataFrame:
-        return own.withColumns({"_base": base, "_more": more}).withColumns({
-            "_base": F.transform("_base", lambda s: scored(s, True)),
-            "_more": F.filter(
-                F.transform(F.filter("_more", free), lambda s: scored(s, False)),
-                lambda s: s["score"] >= rules.threshold),
-        }).withColumn("pii", F.array_sort(F.concat("_base", "_more")))
+        every = own.withColumn("_pieces", F.concat(*[
+            pieces(t, n, pattern, HINT[kind]) for n, (kind, pattern) in enumerate(zip(kinds, patterns, strict=True))]))
+        sized = every.withColumns({
+            "_lengths": F.transform("_pieces", lambda p: (p["gap"] + F.length(p["hit"])).cast("bigint")),
+            "_size": F.size("_pieces"), "_chars": F.length(t).cast("bigint")})
+        placed = with_sums(sized, "_lengths", "_at").withColumns({
+            "_spans": F.filter(F.transform(
+                F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_at").alias("at")),
+                lambda p: F.struct(
+                    (p["at"] + p["piece"]["gap"] - p["piece"]["kind"] * F.col("_chars")).alias("start"),
+                    (p["at"] + p["piece"]["gap"] + F.length(p["piece"]["hit"])
+                     - p["piece"]["kind"] * F.col("_chars")).alias("end"),
+                    F.get(names, p["piece"]["kind"]).alias("kind"), p["piece"]["hit"].alias("match"))),
+                lambda s: s["match"] != ""),
+        }).drop("_pieces", "_lengths", "_at")
+        # Texts without a match are not cut.
+        chunks = F.when((F.size("_spans") > 0) & (F.col("_size") > len(kinds)), F.regexp_extract_all(
+            t, F.lit(f"(?s).{{1,{CHUNK}}}"), 0))
+        split = placed.withColumns({"_chunks": chunks, **{f"_base_{kind}": checked(kind) for kind in BASE}})
+        extra = split.withColumn("_more", F.filter(
+            F.filter("_spans", lambda s: ~s["kind"].isin(*BASE)), free))
+        return extra.withColumns({
+            "_base": F.transform(F.concat(*[f"_base_{kind}" for kind in BASE]), lambda s: scored(s, True)),
+            "_more": F.filter(F.transform("_more", lambda s: scored(s, False)), lambda s: s["score"] >= rules.threshold),
+        }).withColumn("pii", F.array_sort(F.concat("_base", "_more"))).drop(
+            "_spans", "_chunks", "_size", "_chars", "_base", "_more", *[f"_base_{kind}" for kind in BASE])
 
     return beside(docs, [text], ["pii"], work)
 

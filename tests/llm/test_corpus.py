@@ -419,3 +419,64 @@ def test_pipeline_lines_and_near_copies(spark):
     got = corpus_pipeline.keep_one_of_near_copies(spark, lines, SF).collect()
     assert {r["doc_id"] for r in got} ^ {d for d in low if low[d] == d} == set()
     assert len({r["doc_id"] for r in got}) == len(got) < len(want)
+
+
+@pytest.mark.parametrize("rows", [0, 200_000])
+def test_every_trusted_document_counts(spark, docs, rows):
+    """The target takes all trusted ids, sent to the documents or joined by shuffle, in one text many times too."""
+    from shopstar.config import RetailConfig
+    from shopstar.llm.tables import Spool
+
+    sample = read(spark, SF, "documents").select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
+    labels = read(spark, SF, "labels")
+    rules = quality_rules.QualityRules(buckets=64)
+    cfg = RetailConfig(broadcast_rows=rows)
+    got = quality_rules.log_ratios(
+        sample, quality_rules.trusted_ids(labels), rules, Spool(spark, "test-rules"), cfg=cfg).first()["ratios"]
+    good = {r["doc_id"] for r in labels.filter("quality = 1").collect()}
+    every, trusted = collections.Counter(), collections.Counter()
+    counted = quality_rules.tokenised(sample).select(
+        "doc_id", F.explode(quality_rules.token_pairs()).alias("p")).select(
+        "doc_id", F.explode(F.array(*quality_rules.pair_buckets(F.col("p"), rules))).alias("b")).collect()
+    assert len(counted) > 1000
+    for r in counted:
+        every[r["b"]] += 1
+        trusted[r["b"]] += r["doc_id"] in good
+    scale = sum(trusted.values()) / sum(every.values())
+    want = [np.log((trusted[b] + rules.prior) / (every[b] * scale + rules.prior)) for b in range(64)]
+    assert np.allclose(got, want, atol=1e-12)
+
+
+@pytest.mark.parametrize("buckets", [64, 100])
+def test_buckets_of_any_number(spark, buckets):
+    rules = quality_rules.QualityRules(buckets=buckets)
+    rows = spark.range(500).select(F.struct(F.col("id").cast("string").alias("token"), F.lit(None).cast("string").alias("after")).alias("p"))
+    one, two = quality_rules.pair_buckets(F.col("p"), rules)
+    want = F.pmod(F.xxhash64(F.col("p.token")), F.lit(buckets)).cast("int")
+    got = rows.select(one.alias("a"), want.alias("b"), two.alias("c")).collect()
+    assert all(r["a"] == r["b"] and 0 <= r["c"] < buckets for r in got) and len({r["c"] for r in got}) > 40
+
+
+def test_pii_of_very_many_matches(spark):
+    """Base spans and offsets of a text with thousands of matches, also beyond the first plane, and of its half."""
+    parts = []
+    for i in range(6000):
+        parts.append(("10.%d.%d.7" % (i % 250, i // 250), "😀 me%d@x.org" % i, "+49 30 %07d" % i, "4111 1111 1111 1111",
+                      "DE89 3704 0044 0532 0130 00", "no")[i % 6] + (" " if i % 4 else " é" * (i % 90)))
+    text = " ".join(parts)
+    docs = spark.createDataFrame([(1, text), (2, text[:len(text) // 2]), (3, "é" * 300 + text[:3000])], "doc_id long, text string")
+    for r in pii.find_pii(docs).withColumn("base", pii.span_list(F.filter("pii", lambda s: s["base"]))).collect():
+        assert r["base"] == base_spans(r["text"])
+        assert all(r["text"][s["start"]:s["end"]] == s["match"] for s in r["pii"])
+        base = [s for s in r["pii"] if s["base"]]
+        extra = [s for s in r["pii"] if not s["base"]]
+        assert extra and not any(b["start"] < s["end"] and s["start"] < b["end"] for s in extra[:50] for b in base)
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 1024, 1025, 40_000])
+def test_sums_before_every_number(spark, n):
+    numbers = [(i * 7919) % 101 for i in range(n)]
+    df = spark.createDataFrame([(numbers,), (numbers[:5],)], "numbers array<bigint>")
+    got = [r["before"] for r in pii.with_sums(df, "numbers", "before").collect()]
+    want = np.concatenate([[0], np.cumsum(numbers)])[:-1].tolist() if n else []
+    assert got == [want, want[:5]]
