@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopstar.config import RetailConfig
 from shopstar.functions.skew import lookup
 from shopstar.llm.tables import Spool, aside, beside, restored
-from shopstar.llm.text import WORD, whole
+from shopstar.llm.text import WORD, row_id, whole
 
 # Runs of letters and digits, or of anything else but blanks.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
@@ -128,20 +128,20 @@ def log_ratios(docs: DataFrame, target: DataFrame, rules: QualityRules, spool: S
     ).select(F.transform("_all", lambda e: e["ratio"]).alias("ratios"))
 
 
-def score_documents(docs: DataFrame, model: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
-    """Adds score: the mean ratio over the n-grams of a text, 0 for none.
+def mean_ratios(docs: DataFrame, model: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
+    """(r1, r2, mean): per row of `docs`, by hash, the mean ratio over the n-grams of its text.
 
-    The model is one row of `buckets` doubles, of fixed size. It is sent to all
-    executors, and documents are scored where they are, without a shuffle.
+    The model is one row of `buckets` doubles, of fixed size, and every executor
+    gets it. Tokens are rows here, so that hashing, look-up and sums are generated
+    code; the sums of a text are complete within the task that reads it, and one row
+    per document is what leaves it. Texts without tokens have no row.
     """
-    one = lambda size: F.pmod(size, F.lit(1))  # noqa: E731  the same for all rows
-    both = tokenised(docs, text).withColumns({
-        "_pairs": token_pairs(), "_model": one(F.length(whole(text)))}).join(
-        F.broadcast(model.withColumn("_model", one(F.size("ratios")))), "_model")
-    total = F.aggregate("_pairs", F.lit(0.0), lambda a, p: reduce(
-        Column.__add__, [F.coalesce(F.get("ratios", b), F.lit(0.0)) for b in pair_buckets(p, rules)], a))
-    score = F.coalesce(F.try_divide(total, 2 * F.size("_pairs")), F.lit(0.0))
-    return both.withColumn("score", F.round(score, 9)).drop("_tokens", "_pairs", "ratios", "_model")
+    r1, r2 = row_id("doc_id", text)
+    pairs = tokenised(docs.select(r1.alias("r1"), r2.alias("r2"), text), text).select(
+        "r1", "r2", F.explode(token_pairs()).alias("_pair"))
+    ratios = model.scalar()
+    both = reduce(Column.__add__, [F.get(ratios, b) for b in pair_buckets(F.col("_pair"), rules)])
+    return pairs.groupBy("r1", "r2").agg((F.sum(both) / (2 * F.count("*"))).alias("mean"))
 
 
 SIGNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -161,11 +161,13 @@ def apply_rules(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qualit
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
 
     def work(own: DataFrame) -> DataFrame:
-        return count_signs(score_documents(own, model, rules, text), text).withColumn(
-            "base_failed", failed).withColumn(
+        r1, r2 = row_id("doc_id", text)
+        means = mean_ratios(own, model, rules, text)
+        return count_signs(own, text).withColumns({"r1": r1, "r2": r2}).join(means, ["r1", "r2"], "left").withColumns({
+            "score": F.round(F.coalesce("mean", F.lit(0.0)), 9), "base_failed": failed}).withColumn(
             "kept", ~F.col("base_failed") & (F.col("score") >= rules.min_score))
 
-    return beside(docs, [text], [*SIGNS, "score", "base_failed", "kept"], work)
+    return beside(docs, ["doc_id", text], [*SIGNS, "score", "base_failed", "kept"], work)
 
 
 def passing(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(),
