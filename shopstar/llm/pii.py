@@ -76,11 +76,12 @@ def pieces(text: Column, n: int, pattern: str, hint: str) -> Column:
 def with_sums(df: DataFrame, column: str, out: str) -> DataFrame:
     """Adds, for every number of an array, the sum of those before it.
 
-    Slices are summed, then slices of slices; the sum before a number is that
-    before its slice and of the few before it within the slice. So the work grows
-    with the array, where a running list would be copied for every number. Every
-    array is mentioned twice where it is used: the optimizer then keeps it as a
-    column and does not build it anew per element.
+    A short array is summed anew for every number. In a longer one slices are
+    summed, then slices of slices; the sum before a number is that before its slice
+    and of the few before it within the slice. So the work grows with the array,
+    where a running list would be copied for every number. Every array is mentioned
+    twice where it is used: the optimizer then keeps it as a column and does not
+    build it anew per element.
     """
     zero = F.lit(0).cast("bigint")
 
@@ -94,20 +95,23 @@ def with_sums(df: DataFrame, column: str, out: str) -> DataFrame:
     def within(below: str) -> Column:
         own = lambda i: F.floor(i / SLICE).cast("int")
         last = F.least(F.size(below), F.size("_before") * SLICE) - 1
-        sums = F.transform(F.sequence(F.lit(0), last), lambda i: F.get("_before", own(i)) + total(
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.get("_before", own(i)) + total(
             below, own(i) * SLICE + 1, i % SLICE))
-        return F.when(F.size(below) > 0, sums).otherwise(F.expr("cast(array() as array<bigint>)"))
 
+    def direct(numbers: str) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(numbers)), lambda i: total(numbers, F.lit(1), i - 1))
+
+    long = F.size(column) > SLICE
     names = [column]
     for level in range(LEVELS):
-        df = df.withColumn(f"_sums{level}", of_slices(names[-1]))
+        df = df.withColumn(f"_sums{level}", F.when(long, of_slices(names[-1])))
         names.append(f"_sums{level}")
     top = names.pop()
-    df = df.withColumn("_before", F.transform(
-        F.sequence(F.lit(1), F.size(top)), lambda i: total(top, F.lit(1), i - 1)))
+    df = df.withColumn("_before", F.when(long, direct(top)))
     for below in reversed(names):
-        df = df.withColumn("_next", within(below)).drop("_before").withColumnRenamed("_next", "_before")
-    return df.withColumnRenamed("_before", out).drop(*names[1:], top)
+        df = df.withColumn("_next", F.when(long, within(below))).drop("_before").withColumnRenamed("_next", "_before")
+    return df.withColumn(out, F.when(long, F.col("_before")).when(F.size(column) > 0, direct(column)).otherwise(
+        F.expr("cast(array() as array<bigint>)"))).drop("_before", *names[1:], top)
 
 
 def digits_of(match: Column) -> Column:
@@ -213,12 +217,16 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
     def work(own: DataFrame) -> DataFrame:
         every = own.withColumn("_pieces", F.concat(*[
             pieces(t, n, pattern, HINT[kind]) for n, (kind, pattern) in enumerate(zip(kinds, patterns, strict=True))]))
+        # Texts without a match have one gap per kind and need no offsets.
+        some = F.size("_pieces") > len(kinds)
+        lengths = F.transform("_pieces", lambda p: (p["gap"] + F.length(p["hit"])).cast("bigint"))
         sized = every.withColumns({
-            "_lengths": F.transform("_pieces", lambda p: (p["gap"] + F.length(p["hit"])).cast("bigint")),
-            "_size": F.size("_pieces"), "_chars": F.length(t).cast("bigint")})
+            "_lengths": F.when(some, lengths).otherwise(F.expr("cast(array() as array<bigint>)")),
+            "_chars": F.length(t).cast("bigint")})
         placed = with_sums(sized, "_lengths", "_at").withColumns({
             "_spans": F.filter(F.transform(
-                F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_at").alias("at")),
+                F.arrays_zip(F.when(some, F.col("_pieces")).otherwise(F.slice("_pieces", 1, 0)).alias("piece"),
+                             F.col("_at").alias("at")),
                 lambda p: F.struct(
                     (p["at"] + p["piece"]["gap"] - p["piece"]["kind"] * F.col("_chars")).alias("start"),
                     (p["at"] + p["piece"]["gap"] + F.length(p["piece"]["hit"])
@@ -226,9 +234,7 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
                     F.get(names, p["piece"]["kind"]).alias("kind"), p["piece"]["hit"].alias("match"))),
                 lambda s: s["match"] != ""),
         }).drop("_pieces", "_lengths", "_at")
-        # Texts without a match are not cut.
-        chunks = F.when((F.size("_spans") > 0) & (F.col("_size") > len(kinds)), F.regexp_extract_all(
-            t, F.lit(f"(?s).{{1,{CHUNK}}}"), 0))
+        chunks = F.when(F.size("_spans") > 0, F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CHUNK}}}"), 0))
         split = placed.withColumns({"_chunks": chunks, **{f"_base_{kind}": checked(kind) for kind in BASE}})
         extra = split.withColumn("_more", F.filter(
             F.filter("_spans", lambda s: ~s["kind"].isin(*BASE)), free))
@@ -236,7 +242,7 @@ def find_pii(docs: DataFrame, rules: PiiRules = PiiRules(), text: str = "text")
             "_base": F.transform(F.concat(*[f"_base_{kind}" for kind in BASE]), lambda s: scored(s, True)),
             "_more": F.filter(F.transform("_more", lambda s: scored(s, False)), lambda s: s["score"] >= rules.threshold),
         }).withColumn("pii", F.array_sort(F.concat("_base", "_more"))).drop(
-            "_spans", "_chunks", "_size", "_chars", "_base", "_more", *[f"_base_{kind}" for kind in BASE])
+            "_spans", "_chunks", "_chars", "_base", "_more", *[f"_base_{kind}" for kind in BASE])
 
     return beside(docs, [text], ["pii"], work)
 
