@@ -1,6 +1,6 @@
 """Builds a warehouse from delivered CSV files.
 
-    python -m shopstar LANDING_FOLDER WAREHOUSE_FOLDER [--control-copy] [--no-gate]
+    python -m shopstar LANDING_FOLDER WAREHOUSE_FOLDER [--control-copy] [--no-gate] [--line-breaks]
 
 LANDING_FOLDER holds sales.csv, customers.csv, products.csv and branches.csv.
 """
@@ -23,11 +23,12 @@ def main() -> None:
     parser.add_argument("warehouse")
     parser.add_argument("--control-copy", action="store_true", help="also write the flat fact")
     parser.add_argument("--no-gate", action="store_true", help="do not fail on failed checks")
+    parser.add_argument("--line-breaks", action="store_true", help="quoted fields may hold line breaks")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("shopstar").getOrCreate()
-    wh = Warehouse(spark, read_landing(spark, args.landing), args.warehouse.rstrip("/"),
-                   RetailConfig())
+    landing = read_landing(spark, args.landing, args.line_breaks)
+    wh = Warehouse(spark, landing, args.warehouse.rstrip("/"), RetailConfig())
     slowest = run_pipeline(wh, args.control_copy, gate=False)
     quality.load_audit_report(wh.load_audit).show(50, truncate=False)
     quality.reject_counts(wh.stg_sales_rejects).show(truncate=False)

@@ -67,6 +67,7 @@ class Warehouse:
         self.timings: dict[str, float] = {}
         self._built: dict[str, DataFrame] = {}
         self._noted: list[str] = []
+        self._scratch: list[str] = []
         self._lock = threading.RLock()
 
     def table(self, name: str) -> DataFrame:
@@ -74,7 +75,12 @@ class Warehouse:
             if name not in self._built:
                 started = time.perf_counter()
                 before = sum(self.timings.values())
-                self._built[name] = self._build(name)
+                outer, self._scratch = self._scratch, []
+                try:
+                    self._built[name] = self._build(name)
+                    self.clear_spool()
+                finally:
+                    self._scratch = outer + self._scratch
                 self._note_hops(name)
                 inner = sum(self.timings.values()) - before
                 self.timings[name] = time.perf_counter() - started - inner
@@ -105,12 +111,24 @@ class Warehouse:
         return self.spark.read.parquet(*self._noted)
 
     def spool(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate table; every call gets a folder of its own."""
-        return store.write_table(df, f"{self.folder}/spool/{name}-{uuid.uuid4().hex}")
+        """Write an intermediate table; every call gets a folder of its own.
+
+        Those of a build are removed when its table is written, those of a query by
+        clear_spool() when its result has been read.
+        """
+        path = f"{self.folder}/spool/{name}-{uuid.uuid4().hex}"
+        self._scratch.append(path)
+        return store.write_table(df, path)
+
+    def clear_spool(self) -> None:
+        """Remove the intermediate tables written so far; frames that still read them can no longer be run."""
+        while self._scratch:
+            store.remove_folder(self.spark, self._scratch.pop())
 
     def landed_from_csv(self) -> DataFrame:
         """The landed sales, delivered as CSV in the shared folder and read from there."""
         path = f"{self.folder}/spool/sales-csv-{uuid.uuid4().hex}"
+        self._scratch.append(path)
         write_landing_csv(self.sales_landing.select(*schemas.SALES_LANDING.names), path)
         return read_landing_csv(self.spark, path, schemas.SALES_LANDING)
 
@@ -127,6 +145,8 @@ class Warehouse:
             written = store.write_fact_partitioned(df, self._path(name), in_order)
             fact.assert_no_default_partition(written, self.cfg)
             return written
+        if name == "fact_invoices":
+            return store.write_invoices(self._frame(name), self._path(name))
         if name in INDEXES:
             return store.write_index(self.fact_invoices, INDEXES[name], self._path(name))
         if name == "daily_cube":

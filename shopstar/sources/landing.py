@@ -49,9 +49,14 @@ def write_landing_csv(rows: DataFrame, path: str) -> None:
     )
 
 
-def read_landing(spark: SparkSession, folder: str) -> Landing:
+def read_landing(spark: SparkSession, folder: str, line_breaks: bool = False) -> Landing:
+    """The four files of a delivery.
+
+    With `line_breaks`, quoted fields may span lines; a file is then read by one
+    task as a whole, so large deliveries should come as many files.
+    """
     def read(name: str, schema: StructType) -> DataFrame:
-        return read_landing_csv(spark, f"{folder}/{name}.csv", schema)
+        return read_landing_csv(spark, f"{folder}/{name}.csv", schema, line_breaks)
 
     return Landing(
         sales=read("sales", schemas.SALES_LANDING),

@@ -225,16 +225,16 @@ def test_unknown_payments_are_named_up_to_a_bound(spark, wh):
 
 def test_lookups_open_few_files(wh):
     """The index gives the months, so a lookup of one invoice opens its month only."""
-    text = plan(layout.invoice_lookup(wh.fact_sales, wh.invoice_index, wh.cfg.bench))
+    text = plan(layout.invoice_lookup(wh.fact_sales, wh.cfg.bench, wh.invoice_index))
     assert re.search(r"PartitionFilters: \[[^\]]*sale_month#\d+ >= .*[Ss]ubquery", text)
-    text = plan(layout.customer_history(wh.fact_sales, wh.customer_index, wh.cfg.bench))
+    text = plan(layout.customer_history(wh.fact_sales, wh.cfg.bench, wh.customer_index))
     assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", text)
     whole = wh.fact_sales.filter(
         F.col("invoice_id") == wh.fact_sales.filter(F.col("sale_date") == F.lit(wh.cfg.bench.invoice_date)).agg(
             F.min("invoice_id")).first()[0]).count()
-    assert layout.invoice_lookup(wh.fact_sales, wh.invoice_index, wh.cfg.bench).count() == whole
+    assert layout.invoice_lookup(wh.fact_sales, wh.cfg.bench, wh.invoice_index).count() == whole
     own = wh.fact_sales.filter(F.col("customer_key") == wh.cfg.bench.customer_key)
-    assert layout.customer_history(wh.fact_sales, wh.customer_index, wh.cfg.bench).count() == own.select(
+    assert layout.customer_history(wh.fact_sales, wh.cfg.bench, wh.customer_index).count() == own.select(
         "invoice_id", "sale_date").distinct().count()
 
 
