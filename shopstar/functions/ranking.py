@@ -6,9 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from shopstar.config import RetailConfig
-from shopstar.functions.skew import is_small
-
 Spool = Callable[[DataFrame, str], DataFrame]
 
 # monotonically_increasing_id keeps the partition above bit 33 and the position
@@ -80,36 +77,12 @@ def global_ntile(df: DataFrame, order: list[Column], k: int, name: str, spool: S
     return ranked.withColumn(name, tile(F.col("_rank"), F.col("_total"), k)).drop("_rank", "_total")
 
 
-def numbered(df: DataFrame, bound: DataFrame, order: list[Column], name: str,
-             cfg: RetailConfig, spool: Spool) -> DataFrame:
-    """Row numbers of a catalogue; in one task only while `bound` is of checked size."""
-    if is_small(bound, cfg):
-        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
-    return global_row_number(df, order, name, spool)
-
-
-def tiled(df: DataFrame, bound: DataFrame, order: list[Column], k: int, name: str,
-          cfg: RetailConfig, spool: Spool) -> DataFrame:
-    """NTILE(k) of a catalogue, on the same terms."""
-    if is_small(bound, cfg):
-        return df.withColumn(name, F.ntile(k).over(W.orderBy(*order)))
-    return global_ntile(df, order, k, name, spool)
-
-
-def running_totals(df: DataFrame, bound: DataFrame, order: list[Column], value: str,
-                   cfg: RetailConfig, spool: Spool) -> DataFrame:
+def running_totals(df: DataFrame, order: list[Column], value: str, spool: Spool) -> DataFrame:
     """Adds `place`, `running` and `total` of `value` in a unique order.
 
-    Beyond the checked size every written partition sums its own rows and adds
-    the sum of the partitions before it.
+    Every written partition sums its own rows and adds the sum of the partitions
+    before it.
     """
-    if is_small(bound, cfg):
-        best = W.orderBy(*order)
-        return df.withColumns({
-            "place": F.row_number().over(best),
-            "running": F.sum(value).over(best.rowsBetween(W.unboundedPreceding, 0)),
-            "total": F.sum(value).over(W.partitionBy()),
-        })
     stored = spool(range_sorted(df, *order), f"running_{value}")
     part = F.shiftright("_pos", _POSITION_BITS)
     sums = stored.groupBy(part.alias("_part")).agg(

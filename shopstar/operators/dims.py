@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopstar.config import RetailConfig
-from shopstar.functions.ranking import Spool, global_row_number, numbered, tiled
+from shopstar.functions.ranking import Spool, global_ntile, global_row_number
 from shopstar.functions.scalar import date_number, initcap_words
 
 UNKNOWN_KEY = -1
@@ -96,7 +96,7 @@ def dim_branch(branches: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFram
     size = F.col("size_factor").try_cast("decimal(4,2)")
     code = F.upper(F.trim("branch_code"))
     city = initcap_words(F.trim("city"))
-    keyed = numbered(branches, branches, [F.asc("branch_code")], "branch_key", cfg, spool)
+    keyed = global_row_number(branches, [F.asc("branch_code")], "branch_key", spool)
     members = keyed.select(
         F.col("branch_key").cast("int").alias("branch_key"),
         code.alias("branch_code"),
@@ -116,8 +116,8 @@ def dim_branch(branches: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFram
 
 def dim_product(products: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     price = F.col("base_price").try_cast("decimal(10,2)")
-    keyed = numbered(products, products, [F.asc("sku")], "product_key", cfg, spool)
-    thirds = tiled(keyed, products, [price.asc_nulls_last(), F.asc("sku")], 3, "third", cfg, spool)
+    keyed = global_row_number(products, [F.asc("sku")], "product_key", spool)
+    thirds = global_ntile(keyed, [price.asc_nulls_last(), F.asc("sku")], 3, "third", spool)
     members = thirds.select(
         F.col("product_key").cast("int").alias("product_key"),
         F.upper(F.trim("sku")).alias("sku"),
@@ -136,7 +136,7 @@ def dim_product(products: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFra
 def dim_payment(stg_sales: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
     method = F.col("payment_method")
     found = spool(stg_sales.select("payment_method").distinct(), "payment_methods")
-    keyed = numbered(found, found, [F.asc("payment_method")], "payment_key", cfg, spool)
+    keyed = global_row_number(found, [F.asc("payment_method")], "payment_key", spool)
     members = keyed.select(
         F.col("payment_key").cast("int").alias("payment_key"),
         "payment_method",

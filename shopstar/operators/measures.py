@@ -313,7 +313,7 @@ def standing(wh, groups: DataFrame, bound: DataFrame) -> DataFrame:
         })
     levels = groups.groupBy("_rev").agg(F.sum("_rev").alias("level"))
     return groups.join(
-        running_totals(levels, bound, [F.desc("_rev")], "level", wh.cfg, wh.spool).drop("level"),
+        running_totals(levels, [F.desc("_rev")], "level", wh.spool).drop("level"),
         "_rev")
 
 

@@ -44,14 +44,13 @@ def line_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     ).orderBy(F.desc("revenue"), "product_line")
 
 
-def _sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
-                spool: Spool) -> DataFrame:
-    """Revenue per SKU with running share and class; a SKU counts by where it ends."""
+def sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig, spool: Spool) -> DataFrame:
+    """Revenue per SKU with place, running share and class; a SKU counts by where it ends."""
     skus = by_product(
         fact, F.sum("total_amount").alias("rev"), F.sum("gross_profit").alias("prof"),
         F.sum("quantity").alias("units"),
     ).join(dim_product, "product_key")
-    ranked = running_totals(skus, dim_product, [F.desc("rev"), F.asc("sku")], "rev", cfg, spool)
+    ranked = running_totals(skus, [F.desc("rev"), F.asc("sku")], "rev", spool)
     share = ratio(F.col("running"), F.col("total"))
     return ranked.withColumn("cum_share", share).withColumn(
         "abc_class",
@@ -59,9 +58,8 @@ def _sku_shares(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
         .otherwise("C"))
 
 
-def abc_skus(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
-             spool: Spool) -> DataFrame:
-    return _sku_shares(fact, dim_product, cfg, spool).select(
+def abc_skus(shares: DataFrame) -> DataFrame:
+    return shares.select(
         F.col("place").alias("revenue_rank"), "sku", "product_name", "product_line",
         money(F.col("rev")).alias("revenue"),
         money(F.col("prof")).alias("profit"),
@@ -71,9 +69,8 @@ def abc_skus(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
     ).orderBy("revenue_rank")
 
 
-def abc_summary(fact: DataFrame, dim_product: DataFrame, cfg: RetailConfig,
-                spool: Spool) -> DataFrame:
-    classes = _sku_shares(fact, dim_product, cfg, spool).groupBy("abc_class").agg(
+def abc_summary(shares: DataFrame) -> DataFrame:
+    classes = shares.groupBy("abc_class").agg(
         F.count("*").alias("skus"), F.sum("rev").alias("rev"), F.sum("prof").alias("prof"))
 
     def share(c: str) -> Column:

@@ -91,10 +91,8 @@ def _analysis() -> dict[str, Operator]:
         "customer_purchase_gap": lambda w: customer.purchase_gap(w.fact_invoices),
         "product_line_performance": lambda w: product.line_performance(
             sales(w, "product_key"), w.dim_product),
-        "product_abc_skus": lambda w: product.abc_skus(
-            sales(w, "product_key"), w.dim_product, w.cfg, w.spool),
-        "product_abc_summary": lambda w: product.abc_summary(
-            sales(w, "product_key"), w.dim_product, w.cfg, w.spool),
+        "product_abc_skus": lambda w: product.abc_skus(w.sku_shares),
+        "product_abc_summary": lambda w: product.abc_summary(w.sku_shares),
         "product_mix_shift": lambda w: product.mix_shift(
             sales(w, "product_key"), w.dim_date, w.dim_product, w.cfg),
         "product_top_affinities": lambda w: product.top_affinities(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
-from shopstar.operators import aggregates, baskets, clean, dims, fact, quality, rfm, semantic
+from shopstar.operators import aggregates, baskets, clean, dims, fact, product, quality, rfm, semantic
 from shopstar.functions.ranking import range_sorted
 from shopstar.functions.skew import is_small
 from shopstar.sources import store
@@ -48,6 +48,7 @@ TABLES = {
     "basket_masks": STAGING,
     "pair_counts": MARTS,
     "line_pair_counts": MARTS,
+    "sku_shares": MARTS,
     "load_audit": STAGING,
     "dq_results": STAGING,
 }
@@ -68,6 +69,7 @@ class Warehouse:
         self._built: dict[str, DataFrame] = {}
         self._noted: list[str] = []
         self._scratch: list[str] = []
+        self._delivered = False
         self._lock = threading.RLock()
 
     def table(self, name: str) -> DataFrame:
@@ -126,10 +128,12 @@ class Warehouse:
             store.remove_folder(self.spark, self._scratch.pop())
 
     def landed_from_csv(self) -> DataFrame:
-        """The landed sales, delivered as CSV in the shared folder and read from there."""
-        path = f"{self.folder}/spool/sales-csv-{uuid.uuid4().hex}"
-        self._scratch.append(path)
-        write_landing_csv(self.sales_landing.select(*schemas.SALES_LANDING.names), path)
+        """The landed sales, delivered once as CSV in the shared folder and read from there."""
+        path = f"{self.folder}/{RAW}/sales_landing_csv"
+        with self._lock:
+            if not self._delivered:
+                write_landing_csv(self.sales_landing.select(*schemas.SALES_LANDING.names), path)
+                self._delivered = True
         return read_landing_csv(self.spark, path, schemas.SALES_LANDING)
 
     def _path(self, name: str) -> str:
@@ -191,6 +195,8 @@ class Warehouse:
                 self.fact_sales, self.dim_product, cfg, self.spool, cfg.min_pair_baskets, self.basket_masks),
             "line_pair_counts": lambda: baskets.line_pair_counts(
                 self.basket_masks, self.dim_product, cfg, self.spool),
+            "sku_shares": lambda: product.sku_shares(
+                aggregates.sales(self, "product_key"), self.dim_product, cfg, self.spool),
             "load_audit": lambda: quality.append_audit(self),
             "dq_results": lambda: quality.run_checks(self),
         }

@@ -41,7 +41,7 @@ def read_landing_csv(spark: SparkSession, path: str, schema: StructType,
 def write_landing_csv(rows: DataFrame, path: str) -> None:
     """Deliver rows as read_landing_csv takes them: a header, quotes doubled, blanks kept."""
     (
-        rows.write.mode("errorifexists")
+        rows.write.mode("overwrite")
         .option("header", True)
         .option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -232,3 +232,36 @@ def test_shared_folder(spark):
 
 def test_sample_parameters_are_the_only_difference():
     assert sample_config().min_pair_baskets == RetailConfig().min_pair_baskets == 200
+
+
+def test_line_breaks_reach_the_reader(spark, csv_folder):
+    """A quoted field over two lines, through the entry point's own reader."""
+    (csv_folder / "products.csv").write_text(
+        "sku,product_line,product_name,base_price,margin_pct\ns1,Line,\"One\nmore\",10.00,20\n")
+    rows = landing.read_landing(spark, str(csv_folder), line_breaks=True).products.collect()
+    assert [(r.product_name, r.margin_pct) for r in rows] == [("One\nmore", "20")]
+    with pytest.raises(Exception):
+        landing.read_landing(spark, str(csv_folder)).products.collect()
+
+
+def test_scratch_tables_go_when_a_build_ends(spark, csv_folder, tmp_path):
+    wh = Warehouse(spark, landing.read_landing(spark, str(csv_folder)), str(tmp_path / "wh"), RetailConfig())
+    run_pipeline(wh, control_copy=True, gate=False)
+    spool = tmp_path / "wh" / "spool"
+    assert [p.name for p in spool.iterdir()] == []
+    kept = wh.spool(wh.dim_branch, "by_hand")
+    assert kept.count() == 3 and [p.name.split("-")[0] for p in spool.iterdir()] == ["by_hand"]
+    wh.clear_spool()
+    assert [p.name for p in spool.iterdir()] == []
+    shares = wh.sku_shares.orderBy("place").collect()
+    assert [r.place for r in shares] == [1] and shares[0].running == shares[0].total
+
+
+def test_control_copy_is_a_heap(wh):
+    """The same rows as the month layout, in no order that a scan could use."""
+    flat = wh.fact_sales_flat
+    assert flat.count() == wh.fact_sales.count()
+    file = F.input_file_name()
+    spread = flat.groupBy(file.alias("f")).agg(
+        F.min("sale_month").alias("lo"), F.max("sale_month").alias("hi"), F.count("*").alias("n")).collect()
+    assert all(r.lo.year == 1995 and r.hi.year == 2001 for r in spread if r.n > 500)
