@@ -58,8 +58,9 @@ def write_fact_partitioned(fact: DataFrame, path: str, by_date: bool = False) ->
     is stored: then every task holds a few months, a busy month is spread over
     several tasks already, and each only sorts its own rows. Otherwise a range
     shuffle over the whole sort order does this. The sort keeps the min/max of a
-    Parquet row group narrow for lookups of one customer, and Bloom filters tell
-    which row groups can hold an invoice or a customer.
+    Parquet row group narrow for lookups of one customer. Which row groups can hold
+    an invoice or a customer is told by their dictionaries, or by Bloom filters
+    where there are too many keys for one.
     """
     assert_schema(fact, FACT_COLUMNS, "fact_sales")
     order = ["sale_month", "customer_key", "invoice_id", "line_no"]

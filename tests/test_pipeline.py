@@ -265,3 +265,23 @@ def test_control_copy_is_a_heap(wh):
     spread = flat.groupBy(file.alias("f")).agg(
         F.min("sale_month").alias("lo"), F.max("sale_month").alias("hi"), F.count("*").alias("n")).collect()
     assert all(r.lo.year == 1995 and r.hi.year == 2001 for r in spread if r.n > 500)
+
+
+def test_bloom_filters_on_both_keys(spark, tmp_path):
+    """Row groups with too many keys for a dictionary carry a filter for both keys and for nothing else."""
+    given = {"invoice_id": F.format_string("%011d", "id"), "customer_key": F.col("id") * 7919, "sale_id": F.col("id"),
+             "sale_date": F.lit("2021-05-03"), "sale_month": F.lit("2021-05-01"), "customer_type": F.lit("Normal"),
+             "gender": F.lit("Male"), "sale_time": F.lit("10:00:00")}
+    fact = spark.range(0, 200_000, 1, 1).select(*[
+        given.get(c, F.lit(1)).cast(t).alias(c) for c, t in schemas.FACT_COLUMNS.items()])
+    written = store.write_fact_partitioned(fact, str(tmp_path / "fact"), by_date=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(written.inputFiles()[0])
+    source = spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration())
+    reader = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        columns = reader.getFooter().getBlocks().get(0).getColumns()
+        filters = {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() > 0}
+    finally:
+        reader.close()
+    assert filters == {"invoice_id", "customer_key"}
+    assert written.filter("invoice_id = '00000000077'").count() == 1
