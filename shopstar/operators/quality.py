@@ -78,18 +78,21 @@ def orphans(wh: "Warehouse") -> DataFrame:
     """Fact rows with a key that some dimension lacks.
 
     The keys in use meet the dimensions, one row per key. Only keys that miss are
-    looked up among the sales; a sound load has none, and adaptive execution then
-    leaves those joins out.
+    looked up among the sales, and no line passes the filter before those joins if
+    there is none, as in a sound load.
     """
     keys = {
         "date_key": wh.dim_date, "branch_key": wh.dim_branch, "product_key": wh.dim_product,
         "customer_key": wh.dim_customer, "payment_key": wh.dim_payment,
     }
-    rows = wh.fact_sales.select(*keys)
-    for key, dim in keys.items():
-        used = wh.fact_sales.groupBy(key).agg(F.count("*").alias("_lines"))
-        lost = used.join(dim.select(key), key, "left_anti").select(key, F.lit(True).alias(f"lost_{key}"))
-        rows = rows.join(lost, key, "left")
+    lost = {
+        key: wh.fact_sales.groupBy(key).agg(F.count("*").alias("_lines"))
+        .join(dim.select(key), key, "left_anti").select(key, F.lit(True).alias(f"lost_{key}"))
+        for key, dim in keys.items()}
+    found = reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n")) for df in lost.values()))
+    rows = wh.fact_sales.select(*keys).filter(found.agg(F.sum("n")).scalar() > 0)
+    for key, df in lost.items():
+        rows = rows.join(df, key, "left")
     return rows.filter(reduce(Column.__or__, (F.col(f"lost_{k}").isNotNull() for k in keys)))
 
 
