@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
-from shopstar.functions import skew
-from shopstar.operators import clean
+from shopstar.functions import ranking, skew
+from shopstar.operators import aggregates, clean
+from shopstar.plans.warehouse import Warehouse
+from shopstar.sources.landing import Landing
 from shopstar.sources.store import write_table
 
 # HotSpot compiles no larger method; such a one is interpreted row by row.
@@ -67,3 +69,28 @@ def test_hot_key_is_measured_by_the_rows_of_a_task(spark):
     assert not skew.find_hot_buckets(rows, ["key"], cfg)
     hot = skew.find_hot_buckets(rows, ["key"], cfg.with_(task_rows=100))
     assert len(hot.ids) == 1 and hot.salts >= 4
+
+
+def test_range_tasks_follow_the_rows(spark, tmp_path):
+    df = ranking.range_sorted(spark.range(1000), F.asc("id"), tasks=25)
+    assert df.rdd.getNumPartitions() == 25
+    stored = write_table(df, str(tmp_path / "ranked"))
+    ranked = ranking.number_rows(stored, "place").drop("_total")
+    assert ranked.filter(F.col("place") != F.col("id") + 1).count() == 0 and ranked.count() == 1000
+
+
+def test_invoices_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """The range shuffle of the invoice table samples stored rows, not the sums and marks again."""
+    from shopstar.plans import warehouse
+
+    given = []
+    monkeypatch.setattr(warehouse.store, "write_invoices", lambda df, path: given.append(df) or df)
+    names = ("branch_code", "sku", "customer_id")
+    none = {n: spark.createDataFrame([], f"{n} string") for n in names}
+    wh = Warehouse(spark, Landing(lines(spark), *none.values()), str(tmp_path / "wh"), sample_config())
+    fact = write_table(spark.createDataFrame([], ", ".join(
+        f"{n} {t if isinstance(t, str) else t.simpleString()}" for n, t in schemas.FACT_COLUMNS.items())), str(tmp_path / "fact"))
+    wh._built["fact_sales"] = fact
+    wh.fact_invoices
+    assert "Window" not in given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert set(aggregates.INVOICE_GRAIN) < set(given[0].columns)
