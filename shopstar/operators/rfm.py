@@ -10,6 +10,8 @@ from shopstar.operators.common import identified
 # Scores run from 1 to 5.
 SCORES = 5
 METRICS = ("r_score", "f_score", "m_score")
+# Of sums over a customer, whether lines or sums of lines were added up.
+SPEND = "decimal(32,4)"
 
 
 def rfm_base(fact: DataFrame) -> DataFrame:
@@ -21,8 +23,8 @@ def rfm_base(fact: DataFrame) -> DataFrame:
         .agg(
             F.max("sale_date").alias("last_purchase"),
             F.countDistinct("invoice_id").alias("frequency"),
-            F.sum("total_amount").alias("monetary"),
-            F.sum("gross_profit").alias("profit"),
+            F.sum("total_amount").cast(SPEND).alias("monetary"),
+            F.sum("gross_profit").cast(SPEND).alias("profit"),
             F.min("sale_date").alias("first_purchase"),
         )
         .select(

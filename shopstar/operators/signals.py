@@ -210,7 +210,6 @@ def margin_spread(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 def headline_figures(fact: DataFrame, dim_branch: DataFrame, rfm_base: DataFrame) -> DataFrame:
     totals = fact.agg(
         line_count(fact).alias("line_items"),
-        invoice_count(fact).alias("invoices"),
         F.min("sale_date").alias("first_sale"),
         F.max("sale_date").alias("last_sale"),
         F.sum("total_amount").alias("rev"),
@@ -226,7 +225,9 @@ def headline_figures(fact: DataFrame, dim_branch: DataFrame, rfm_base: DataFrame
         F.percentile("frequency", 0.9, F.col("n")).alias("p90"),
         F.max("frequency").alias("most"))).scalar()
     growth = _yearly(fact).agg(*_cagr_columns()).scalar()
-    return totals.withColumns({"places": places, "spread": spread}).select(
+    # Apart, as of plain lines it is a distinct count, which the sums would travel with.
+    invoices = fact.agg(invoice_count(fact)).scalar()
+    return totals.withColumns({"places": places, "spread": spread, "invoices": invoices}).select(
         "line_items", "invoices",
         F.col("spread.customers").alias("customers"),
         F.col("places.branches").alias("branches"),

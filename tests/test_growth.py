@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from compare import TESTDATA
 from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
 from shopstar.functions import ranking, skew
-from shopstar.operators import aggregates, clean
-from shopstar.plans.warehouse import Warehouse
+from shopstar.operators import aggregates, clean, dims, rfm, semantic
+from shopstar.plans import registry
+from shopstar.plans.warehouse import Warehouse, sample_warehouse
 from shopstar.sources.landing import Landing
 from shopstar.sources.store import write_table
 
@@ -94,3 +96,29 @@ def test_invoices_are_worked_out_once(spark, tmp_path, monkeypatch):
     wh.fact_invoices
     assert "Window" not in given[0]._jdf.queryExecution().optimizedPlan().toString()
     assert set(aggregates.INVOICE_GRAIN) < set(given[0].columns)
+
+
+# Queries that need sums of lines or one distinct count, which the fact gives as well.
+WITHOUT_INVOICES = (
+    "headline_figures", "growth_seasonality_index", "page_exec_kpis_sliced", "product_cross_category",
+    "product_by_segment", "partition_profile", "dq_report", "dq_category_summary", "signal_report")
+
+
+def test_invoice_table_is_not_built_for_one_sum(spark):
+    """A query alone does not pay for the invoice table; what is made of the fact is the same."""
+    cfg = sample_config().with_(tail_days=119)  # a warehouse of its own
+    wh = sample_warehouse(spark, f"{TESTDATA}/sf0.001", cfg)
+    alone = {name: registry.operators()[name](wh).collect() for name in WITHOUT_INVOICES}
+    assert all(alone.values()) and not wh.has("fact_invoices")
+    invoices = wh.fact_invoices
+    pairs = [
+        (wh.rfm_base, rfm.rfm_base(invoices)),
+        (wh.daily_cube, aggregates.daily_cube(wh.fact_sales, invoices)),
+        (wh.dim_customer, dims.customer_enrich(wh.dim_customer_static, invoices)),
+        (wh.cohort_counts, semantic.cohort_counts(invoices, wh.dim_customer))]
+    for got, want in pairs:
+        assert dict(got.dtypes) == dict(want.dtypes)
+        want = want.select(*got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert aggregates.stored_sales(wh) is invoices
+    assert registry.operators()["headline_figures"](wh).collect() == alone["headline_figures"]
