@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from compare import TESTDATA
 from shopstar import schemas
 from shopstar.config import RetailConfig, sample_config
-from shopstar.functions import ranking, skew
+from shopstar.functions import ranking, scalar, skew
 from shopstar.operators import aggregates, clean, dims, rfm, semantic
 from shopstar.plans import registry
 from shopstar.plans.warehouse import Warehouse, sample_warehouse
@@ -122,3 +122,19 @@ def test_invoice_table_is_not_built_for_one_sum(spark):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert aggregates.stored_sales(wh) is invoices
     assert registry.operators()["headline_figures"](wh).collect() == alone["headline_figures"]
+
+
+def test_city_is_conformed_once(spark, tmp_path):
+    """The mark of a dirty line shares the conformed city."""
+    def capitals(*columns):
+        stages = landing.select(*columns)._jdf.queryExecution().debug().codegenToSeq()
+        return sum(stages.apply(k)._2().count("InitCap") for k in range(stages.size()))
+
+    landing = write_table(lines(spark), str(tmp_path / "landing"))
+    city = scalar.initcap_words(F.trim("city"))
+    assert capitals(city) > 0 and capitals(city.alias("city"), clean.is_dirty()) == capitals(city)
+    rows = spark.createDataFrame(
+        [(c, "Member", "1", "2", "Cash", "2020-01-01", "9") for c in ("York", " York", "yORK", "O'Neil", "o'Neil", "", None)],
+        "city string, customer_type string, unit_price string, quantity string, payment string, date string, rating string")
+    assert [r.dirty for r in rows.select("city", clean.is_dirty().alias("dirty")).collect()] == [
+        False, True, True, False, True, False, False]
