@@ -67,32 +67,38 @@ def _orders(orders: DataFrame) -> DataFrame:
 
 
 def _parts(part: DataFrame) -> DataFrame:
+    return part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+
+
+def _of_part() -> dict[str, Column]:
     line = F.pmod(F.substring("p_brand", 7, 10).cast("int"), F.lit(6))
-    return part.select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.upper("p_brand").alias("product_sku"),
-        F.concat(F.lit("Line "), line.cast("string")).alias("product_line"),
-        F.col("p_brand").alias("product_name"),
-        (F.lit(12) + line * 4).cast("string").alias("gross_margin_pct"),
-    )
+    return {
+        "product_sku": F.upper("p_brand"),
+        "product_line": F.concat(F.lit("Line "), line.cast("string")),
+        "product_name": F.col("p_brand"),
+        "gross_margin_pct": (F.lit(12) + line * 4).cast("string"),
+    }
 
 
 def _stores(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     key = F.col("n_nationkey")
     return supplier.join(nation, F.col("s_nationkey") == key).select(
-        F.col("s_suppkey").alias("l_suppkey"),
-        _code(key).alias("branch"),
-        _proper(F.col("n_name")).alias("city"),
-        _opened(key).alias("opened"),
-    )
+        F.col("s_suppkey").alias("l_suppkey"), key, "n_name")
+
+
+def _of_store() -> dict[str, Column]:
+    key = F.col("n_nationkey")
+    return {"branch": _code(key), "city": _proper(F.col("n_name")), "opened": _opened(key)}
 
 
 def sales(spark: SparkSession, sf_dir: str, cfg: RetailConfig) -> DataFrame:
     """One landing row per order line, with planted defects.
 
-    Whatever depends on the order, the part or the supplier alone is worked out
-    on that side of the join. The columns l_partkey and l_suppkey ride along to
-    settle ties between copies of a line.
+    While the sides are too large to be sent everywhere, each join deals the lines
+    anew. So the texts of an order are worked out on its side and joined last, and
+    of parts and suppliers only what their texts are made of travels with a line.
+    The columns l_partkey and l_suppkey ride along to settle ties between copies
+    of a line.
     """
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -101,13 +107,13 @@ def sales(spark: SparkSession, sf_dir: str, cfg: RetailConfig) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     lines = scan.withColumn("_row", F.monotonically_increasing_id())
     for one, key in (
-        (_orders(read("orders")), "l_orderkey"),
         (_parts(read("part")), "l_partkey"),
         (_stores(read("supplier"), read("nation")), "l_suppkey"),
+        (_orders(read("orders")), "l_orderkey"),
     ):
         lines = lookup(lines, one, [key], cfg, "_row", "inner", scan)
     c = F.col
-    lines = lines.filter(c("day") >= c("opened")).withColumns({
+    lines = lines.withColumns(_of_part() | _of_store()).filter(c("day") >= c("opened")).withColumns({
         "cents": F.floor(c("l_extendedprice") * 100.0 / c("l_quantity") + 0.5).cast("bigint"),
         "k": F.pmod(c("l_orderkey") * 7 + c("l_linenumber") * 13 + c("l_partkey"), F.lit(1000)),
         "rt": F.pmod(c("l_partkey") * 13 + c("l_orderkey") * 7 + c("l_linenumber"), F.lit(91)),
