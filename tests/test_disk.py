@@ -123,3 +123,18 @@ def test_lines_do_not_carry_the_texts_of_their_sides(spark):
     assert set.union(*of_lines) == {
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "p_brand", "n_nationkey", "n_name"}
+
+
+ALONE = ("growth_annual_cagr", "customer_new_vs_returning", "page_exec_region_matrix",
+         "measure_customers_by_segment", "page_customer_acquisition")
+
+
+def test_invoice_table_is_not_built_for_sums_by_customer_or_region(spark):
+    wh = sample_warehouse(spark, f"{TESTDATA}/sf0.001", sample_config().with_(tail_days=118))
+    alone = {name: registry.operators()[name](wh) for name in ALONE}
+    found = {name: (df.dtypes, df.collect()) for name, df in alone.items()}
+    assert all(rows for _, rows in found.values()) and not wh.has("fact_invoices")
+    wh.fact_invoices
+    for name in ALONE:
+        again = registry.operators()[name](wh)
+        assert (again.dtypes, again.collect()) == found[name], name
